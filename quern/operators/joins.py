@@ -37,3 +37,58 @@ def lookup(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], how: str
     return fact.join(hot, is_hot, "left_semi").join(F.broadcast(few), same, how).unionByName(
         fact.join(hot, is_hot, "left_anti").join(many, same, how)
     )
+
+
+def pair_operations(df: DataFrame, keys: list[str], value: str, target: int) -> DataFrame:
+    """Most disjoint pairs of rows per key whose values add up to ``target``.
+
+    Rows are counted per value first, so each value meets one partner row.
+    """
+    counts = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    other = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], (F.lit(target) - F.col("_v")).alias("_w"),
+                          F.col("_c").alias("_d"))
+    same = null_safe([F.col(k) for k in keys], [F.col(f"_{k}") for k in keys])
+    pairs = counts.join(other, same & (F.col("_v") == F.col("_w"))).filter(F.col("_v") * 2 <= target)
+    used = F.when(F.col("_v") * 2 == target, F.floor(F.col("_c") / 2)).otherwise(F.least("_c", "_d"))
+    return pairs.groupBy(*keys).agg(F.sum(used).cast("bigint").alias("operations"))
+
+
+def pairs_at_distance(df: DataFrame, keys: list[str], value: str, distance: int) -> DataFrame:
+    """Distinct value pairs (low, low + distance) of the same key."""
+    low = df.select(*keys, F.col(value).alias("low")).distinct()
+    high = low.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("low").alias("high"))
+    same = null_safe([F.col(k) for k in keys], [F.col(f"_{k}") for k in keys])
+    return low.join(high, same & (F.col("low") + distance == F.col("high"))).select(*keys, "low", "high")
+
+
+def one_letter_neighbours(words: DataFrame, word: str) -> DataFrame:
+    """Pairs of words that differ in exactly one letter.
+
+    Every word is stored under each of its masked forms.  A masked form holds at
+    most one word per letter of the alphabet, which bounds the join's groups.
+    """
+    w = words.select(F.col(word).alias("a")).distinct()
+    masks = F.transform(
+        F.sequence(F.lit(1), F.length("a")),
+        lambda i: F.concat(F.substring(F.col("a"), F.lit(1), i - 1), F.lit("_"), F.substring(F.col("a"), i + 1, F.length("a"))),
+    )
+    left = w.filter(F.length("a") > 0).select("a", F.explode(masks).alias("mask"))
+    right = left.select(F.col("a").alias("b"), F.col("mask").alias("_mask"))
+    return left.join(right, (F.col("mask") == F.col("_mask")) & (F.col("a") < F.col("b"))).select("a", "b")
+
+
+def dependency_context(tasks: DataFrame) -> DataFrame:
+    """Results of each task's ``depends_on`` in listed order, joined as one text.
+
+    ``tasks``: task_id, depends_on (array), result.  Missing results are left out.
+    """
+    wanted = tasks.select("task_id", F.posexplode("depends_on").alias("pos", "dep"))
+    done = tasks.filter(F.col("result").isNotNull() & (F.col("result") != "")).select(
+        F.col("task_id").alias("_id"), F.col("result").alias("_text"))
+    part = F.concat(F.lit("[Result from "), F.col("dep"), F.lit("]\n"), F.col("_text"))
+    found = lookup(wanted, done, [("dep", "_id")])
+    texts = found.groupBy("task_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", part.alias("part")))),
+                                 lambda x: x["part"]), "\n\n").alias("context"))
+    return tasks.select("task_id").join(texts, "task_id", "left").withColumn(
+        "context", F.coalesce("context", F.lit("")))

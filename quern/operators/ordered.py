@@ -227,3 +227,24 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         found = found.withColumn(f"q{i}", lo + (hi - lo) * (at - F.floor(at)))
     return found.select(*keys, "n", *[f"q{i}" for i in range(len(probs))])
+
+
+def ranked(df: DataFrame, keys: list[str], value: str, tie: str) -> Ordered:
+    """Largest ``value`` first: columns ``row_number``, ``rank`` and ``size``."""
+    o = Ordered(df.withColumn("_neg", -F.col(value)), keys, ["_neg", tie]).scan(
+        row_number=position(), _last=shift("_neg"), size=total("sum", F.lit(1).cast("bigint"))
+    )
+    first = F.when(~F.col("_neg").eqNullSafe(F.col("_last")) | (F.col("row_number") == 1), F.col("row_number"))
+    o = o.scan(rank=running("max", first))
+    o.df = o.df.drop("_neg", "_last")
+    return o
+
+
+def ntile(tiles: int) -> Column:
+    """Tile of a row from its ``row_number`` and the ``size`` of its group."""
+    small = F.floor(F.col("size") / tiles)
+    wide = F.col("size") - small * tiles  # tiles that hold one row more
+    rn = F.col("row_number")
+    return F.when(
+        rn <= wide * (small + 1), F.ceil(rn / (small + 1))
+    ).otherwise(wide + F.ceil((rn - wide * (small + 1)) / F.greatest(small, F.lit(1)))).cast("bigint")
