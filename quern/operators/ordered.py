@@ -175,7 +175,10 @@ class Ordered:
             else:
                 column = _AGG[s.how](f"_s_{name}").over(along.rowsBetween(W.unboundedPreceding, -1))
             carried.append(column.alias(f"_c_{name}"))
-        carry = blocks.select(*names, "_b", *carried)
+        found = blocks.select(*names, "_b", *carried)
+        # at most 2 * quern.block.max rows: fetched once, so that a chain of scans
+        # reads its input once per scan instead of twice per scan
+        carry = df.sparkSession.createDataFrame(found.collect(), found.schema)
         keys = [F.col(k) for k in self.keys] + [F.col(BLOCK)]
         df = df.join(F.broadcast(carry), null_safe(keys, [F.col(n) for n in names + ["_b"]]), "left")
         for name, s in scans.items():

@@ -1,6 +1,6 @@
 """Importing this package registers every query."""
 
-from quern.plans import aggregates, filters, joins, profile, sequences  # noqa: F401
+from quern.plans import aggregates, filters, joins, profile, sequences, workload  # noqa: F401
 from quern.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -10,6 +10,7 @@ from quern.plans.registry import query
 from quern.tables import cents, day, micros, month
 
 _ORDER = ["ts", "event_id"]
+_TYPES = ["view", "click", "signup", "purchase", "error"]
 _SEQ = """s AS (SELECT event_id, user_id, ts, event_type, CAST(round(value * 100) AS BIGINT) AS v,
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events)"""
 _RUNS = _SEQ + """, c AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY i)
@@ -207,10 +208,10 @@ def longest_without_repeat(t):
 
 
 @query("f18_longest_with_two", f"""
-WITH {_SEQ}, w AS (SELECT a.user_id, a.i, b.i AS l, count(DISTINCT c.event_type) AS d FROM s a
-  JOIN s b ON b.user_id = a.user_id AND b.i <= a.i AND b.i > a.i - 40
-  JOIN s c ON c.user_id = a.user_id AND c.i BETWEEN b.i AND a.i GROUP BY 1, 2, 3)
-SELECT user_id, max(i - l + 1) AS longest FROM w WHERE d <= 2 GROUP BY 1""")
+WITH {_SEQ}, w AS (SELECT user_id, i, list_sort([{", ".join(
+    f"coalesce(max(CASE WHEN event_type = '{e}' THEN i END) OVER p, 0)" for e in _TYPES)}], 'DESC') AS last
+  FROM s WINDOW p AS (PARTITION BY user_id ORDER BY i ROWS UNBOUNDED PRECEDING))
+SELECT user_id, max(i - last[3]) AS longest FROM w GROUP BY 1""")
 def longest_with_two(t):
     return sequence.longest_with_distinct(events(t), ["user_id"], _ORDER, "event_type", 2)
 
