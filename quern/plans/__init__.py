@@ -1,6 +1,17 @@
 """Importing this package registers every query."""
 
-from quern.plans import aggregates, filters, joins, profile, sequences, workload  # noqa: F401
+from quern.plans import (  # noqa: F401
+    aggregates,
+    expressions,
+    filters,
+    joins,
+    lint,
+    matrices,
+    profile,
+    regression,
+    sequences,
+    workload,
+)
 from quern.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
