@@ -2,6 +2,7 @@
 
 from quern.plans import (  # noqa: F401
     aggregates,
+    curation,
     expressions,
     filters,
     joins,

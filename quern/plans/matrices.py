@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quern.operators import matrix
+from quern.operators import matrix, similarity
 from quern.plans.registry import query
 
 _M = """m AS (SELECT vec_id AS i, CAST(unnest(range(len(embedding))) AS BIGINT) AS j, CAST(unnest(embedding) AS DOUBLE) AS v
@@ -31,6 +31,14 @@ def cosine(t):
         "a", "b", F.round(matrix.cosine(F.col("x"), F.col("y")), 8).alias("cosine"))
 
 
+@query("i02_most_similar", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ c AS (SELECT a.vec_id, b.vec_id AS nearest, list_cosine_similarity(a.v, b.v) AS cosine FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, arg_max(nearest, (cosine, -nearest)) AS nearest, round(max(cosine), 8) AS cosine FROM c GROUP BY 1""")
+def most_similar(t):
+    return similarity.most_similar(t.embeddings, "vec_id", "embedding").withColumn("cosine", F.round("cosine", 8))
+
+
 @query("i03_transpose", f"WITH {_M} SELECT j AS i, i AS j, v FROM m")
 def transpose(t):
     return matrix.transpose(entries(t))
