@@ -168,7 +168,7 @@ def audit(pairs: DataFrame, key: str) -> DataFrame:
             F.lit("ACCEPTED")))
 
 
-def rejection_reason(df: DataFrame) -> Column:
+def rejection_reason() -> Column:
     """The stage in words, with the number that failed."""
     stage = F.col("stage")
     return (

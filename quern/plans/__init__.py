@@ -5,12 +5,15 @@ from quern.plans import (  # noqa: F401
     curation,
     expressions,
     filters,
+    graphs,
     joins,
     lint,
     matrices,
     profile,
     regression,
     sequences,
+    sources,
+    streams,
     workload,
 )
 from quern.plans.registry import ORACLES, QUERIES

@@ -64,7 +64,7 @@ def consistency_gate(t):
 
 
 def _near(table, key, text, name="near"):
-    return f"""{name} AS (WITH v AS {_words(table, key, text)}, n AS (SELECT {key}, sqrt(sum(tf * tf)) AS n FROM v GROUP BY 1),
+    return f"""{name} AS MATERIALIZED (WITH v AS {_words(table, key, text)}, n AS (SELECT {key}, sqrt(sum(tf * tf)) AS n FROM v GROUP BY 1),
   d AS (SELECT a.{key} AS late, b.{key} AS early, sum(a.tf * b.tf) AS d FROM v a JOIN v b ON a.w = b.w AND b.{key} < a.{key} GROUP BY 1, 2)
   SELECT late, early FROM d JOIN n x ON x.{key} = late JOIN n y ON y.{key} = early WHERE d / (x.n * y.n) >= 0.85)"""
 
@@ -78,7 +78,7 @@ def near_duplicates(t):
 def _greedy(rows, key, good):
     """Walk the rows in order, carrying the list of accepted keys."""
     return f"""o AS (SELECT r.*, row_number() OVER (ORDER BY r.{key}) AS i FROM {rows} r),
- h AS (SELECT o.i, o.{key} AS k, {good} AS good, coalesce((SELECT list(early ORDER BY early) FROM near WHERE late = o.{key}), []) AS past FROM o),
+ h AS MATERIALIZED (SELECT o.i, o.{key} AS k, {good} AS good, coalesce((SELECT list(early ORDER BY early) FROM near WHERE late = o.{key}), []) AS past FROM o),
  walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS kept, CAST(NULL AS BIGINT) AS k, CAST(NULL AS BIGINT) AS by_
   UNION ALL SELECT h.i, CASE WHEN h.good AND NOT list_has_any(h.past, walk.kept) THEN list_append(walk.kept, h.k) ELSE walk.kept END, h.k,
    list_min(list_intersect(h.past, walk.kept)) FROM walk JOIN h ON h.i = walk.i + 1)"""

@@ -6,6 +6,7 @@ All are session settings, so a job can change them with ``spark.conf.set``.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -35,3 +36,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="quern-checkpoint-")
     context.setCheckpointDir(shared)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
