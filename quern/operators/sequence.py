@@ -71,32 +71,26 @@ def prefix_sums(df: DataFrame, keys: list[str], order: list[str], value: str) ->
 
 
 def circular_sum(df: DataFrame, keys: list[str], order: list[str], value: str, k: int) -> DataFrame:
-    """Sum of the next k (or previous -k) values around the circle; 0 for k = 0.
+    """Adds ``circular``: the sum of the next k (or previous -k) values around the circle.
 
     Two prefix sums are subtracted; the far one is found by its place, a join key
     that never repeats.
     """
-    o = Ordered(df, keys, order).scan(
-        i=position(), upto=running("sum", value), n=total("sum", F.lit(1).cast(LONG)), whole=total("sum", value))
-    rows = o.rows()
     if k == 0:
-        return rows.withColumn("circular", F.lit(0).cast(LONG)).drop("i", "upto", "n", "whole")
-    far = rows.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("i").alias("_i"), F.col("upto").alias("_upto"))
+        return df.withColumn("circular", F.lit(0).cast(LONG))
+    rows = Ordered(df, keys, order).scan(
+        _i=position(), _upto=running("sum", value), _n=total("sum", F.lit(1).cast(LONG)), _whole=total("sum", value)).rows()
+    far = rows.select(*[F.col(c).alias(f"_far_{c}") for c in keys], F.col("_i").alias("_far_i"), F.col("_upto").alias("_far_upto"))
+    same_key = null_safe([F.col(c) for c in keys], [F.col(f"_far_{c}") for c in keys])
     # forward: (i, i + k]; backward: [i - |k|, i - 1], that is (i - |k| - 1, i - 1]
-    end = F.col("i") + (k if k > 0 else -1)
-    start = end - abs(k)
-    turns = lambda p: F.floor((p - 1) / F.col("n"))
-    rows = rows.withColumn("_end", end).withColumn("_start", start)
-    for name in ("_end", "_start"):
-        other = far.select(*[F.col(f"_{c}").alias(f"{name}{c}") for c in keys], F.col("_i").alias(f"{name}_i"),
-                           F.col("_upto").alias(f"{name}_upto"))
-        place = F.col(name) - turns(F.col(name)) * F.col("n")
-        on = null_safe([F.col(c) for c in keys], [F.col(f"{name}{c}") for c in keys])
-        rows = rows.join(other, on & (place == F.col(f"{name}_i"))).withColumn(
-            f"{name}_p", F.col(f"{name}_upto") + turns(F.col(name)) * F.col("whole")
-        ).drop(*[f"{name}{c}" for c in keys], f"{name}_i", f"{name}_upto")
-    return rows.withColumn("circular", (F.col("_end_p") - F.col("_start_p")).cast(LONG)).drop(
-        "i", "upto", "n", "whole", "_end", "_start", "_end_p", "_start_p")
+    end = F.col("_i") + (k if k > 0 else -1)
+    sums = []
+    for name, place in (("_end", end), ("_start", end - abs(k))):
+        turns = F.floor((place - 1) / F.col("_n"))
+        rows = rows.join(far, same_key & (place - turns * F.col("_n") == F.col("_far_i"))).withColumn(
+            name, F.col("_far_upto") + turns * F.col("_whole")).drop(*far.columns)
+        sums.append(F.col(name))
+    return rows.withColumn("circular", (sums[0] - sums[1]).cast(LONG)).drop("_i", "_upto", "_n", "_whole", "_end", "_start")
 
 
 def variable_frame_sum(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
