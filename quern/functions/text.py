@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What separates words, and which words count as tokens.
-SEPARATOR = r"[^\p{L}\p{N}_]+"
-TOKEN = r"^[a-z]{3,}$"
+# Fixed value: three or more letters a-z with no letter, digit or underscore next to them.
+TOKEN = r"(?<![\p{L}\p{N}_])[a-z]{3,}+(?![\p{L}\p{N}_])"
 
 
 def tokens(text: Column) -> Column:
     """Lower-case words made of three or more letters a-z."""
-    return F.filter(F.split(F.lower(text), SEPARATOR), lambda w: w.rlike(TOKEN))
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
 def letters_sorted(word: Column) -> Column:

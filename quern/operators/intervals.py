@@ -15,14 +15,14 @@ def cover_counts(intervals: DataFrame, points: DataFrame, keys: list[str]) -> Da
     asked = points.select(*keys, "at").distinct().withColumn("_d", F.lit(0).cast("bigint")).withColumn(
         "_kind", F.lit(1))
     events = step(intervals, "start", 0, 1).unionByName(asked).unionByName(step(intervals, "end", 2, -1))
-    o = Ordered(events, keys, ["at", "_kind"]).scan(n=running("sum", "_d"))
+    o = Ordered(events, keys, ["at", "_kind"], settle=True).scan(n=running("sum", "_d"))
     return o.rows().filter(F.col("_kind") == 1).select(*keys, "at", "n")
 
 
 def merge(intervals: DataFrame, keys: list[str]) -> DataFrame:
     """Union of overlapping or touching intervals per key."""
     distinct = intervals.groupBy(*keys, "start").agg(F.max("end").alias("end"))
-    o = Ordered(distinct, keys, ["start"]).scan(_reach=running("max", "end", before=True))
+    o = Ordered(distinct, keys, ["start"], settle=True).scan(_reach=running("max", "end", before=True))
     island = F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach")), 1).otherwise(0)
     o = o.scan(_island=running("sum", island.cast("bigint")))
     return o.rows().groupBy(*keys, "_island").agg(
@@ -34,7 +34,7 @@ def max_concurrent(intervals: DataFrame, keys: list[str]) -> DataFrame:
     deltas = intervals.select(*keys, F.col("start").alias("at"), F.lit(1).alias("_d")).unionByName(
         intervals.select(*keys, F.col("end").alias("at"), F.lit(-1).alias("_d")))
     net = deltas.groupBy(*keys, "at").agg(F.sum("_d").alias("_d"))
-    o = Ordered(net, keys, ["at"]).scan(_open=running("sum", "_d"))
+    o = Ordered(net, keys, ["at"], settle=True).scan(_open=running("sum", "_d"))
     return o.rows().groupBy(*keys).agg(F.max("_open").alias("rooms"))
 
 
@@ -52,6 +52,6 @@ def closest_pairs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     o = Ordered(df.select(*keys, value).distinct(), keys, [value]).scan(low=shift(value))
     gaps = o.rows().filter(F.col("low").isNotNull()).select(
         *keys, "low", F.col(value).alias("high"), (F.col(value) - F.col("low")).alias("gap"))
-    o = Ordered(gaps, keys, ["high"])
+    o = Ordered(gaps, keys, ["high"], settle=True)
     best = o.scan(_best=total("min", "gap")).rows()
     return best.filter(F.col("gap") == F.col("_best")).drop("_best")

@@ -82,11 +82,16 @@ class Ordered:
     """Rows of ``df`` per key in the order of the columns ``order`` (all ascending).
 
     ``order`` must be unique within a key, so that results do not depend on how
-    equal rows happen to be placed.
+    equal rows happen to be placed.  The rows are read once to find large keys and
+    again to scan them; ``settle`` writes them to the checkpoint folder first, for
+    rows that took joins or aggregations to make.
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str]):
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], settle: bool = False):
         self.keys, self.order = list(keys), list(order)
+        if settle:
+            settings.ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint()
         hot, cap = hot_keys(df, self.keys)
         self.split = hot is not None
         self.df = self._cut(df, hot, cap) if self.split else df.withColumn(BLOCK, F.lit(0))
@@ -207,31 +212,6 @@ def runs(ordered: Ordered, item: str) -> Ordered:
     return out
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
-    """Interpolated quantiles per key: columns ``q0, q1, …`` and ``n``.
-
-    Equal values are counted before the shuffle; the running count over distinct
-    values then finds the two neighbours of each quantile, so no task holds a
-    whole group.
-    """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-    o = Ordered(counts, keys, [value]).scan(_upto=running("sum", "_c"), _n=total("sum", "_c"))
-    pieces = []
-    for i, p in enumerate(probs):
-        at = (F.col("_n") - 1) * F.lit(float(p))
-        for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            holds = (F.col("_upto") > place) & (F.col("_upto") - F.col("_c") <= place)
-            pieces.append(F.max(F.when(holds, F.col(value))).alias(f"_{side}{i}"))
-    found = o.rows().groupBy(*keys).agg(F.max("_n").alias("n"), *pieces)
-    for i, p in enumerate(probs):
-        at = (F.col("n") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        found = found.withColumn(f"q{i}", lo + (hi - lo) * (at - F.floor(at)))
-    return found.select(*keys, "n", *[f"q{i}" for i in range(len(probs))])
-
-
 def ranked(df: DataFrame, keys: list[str], value: str, tie: str) -> Ordered:
     """Largest ``value`` first: columns ``row_number``, ``rank`` and ``size``."""
     o = Ordered(df.withColumn("_neg", -F.col(value)), keys, ["_neg", tie]).scan(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.operators.joins import lookup
-from quern.operators.ordered import exact_quantiles
+from quern.operators.quantiles import exact_quantiles
 
 
 def melt(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
@@ -33,7 +33,7 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
     quartiles = exact_quantiles(long, ["column_name"], "value", [0.25, 0.5, 0.75])
-    return quartiles.join(moments, "column_name").select(
+    return moments.join(quartiles, "column_name").select(
         "column_name", F.col("n").alias("count"), "mean", "std", "min",
         F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max",
     )
@@ -72,22 +72,21 @@ def box_plot(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
     iqr = F.col("q3") - F.col("q1")
     low, high = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    counts = df.groupBy(*keys, value).agg(F.count(value).alias("_c"))
     inside = F.col(value).between(low, high)
-    return lookup(counts, box, [(k, f"_{k}") for k in keys]).groupBy(
+    return lookup(df.select(*keys, value), box, [(k, f"_{k}") for k in keys]).groupBy(
         *keys, "q1", "median", "q3"
     ).agg(
         F.min(F.when(inside, F.col(value))).alias("low_whisker"),
         F.max(F.when(inside, F.col(value))).alias("high_whisker"),
-        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     )
 
 
 def density(df: DataFrame, facets: list[str], value: str, points: int) -> DataFrame:
     """Gaussian kernel density on an even grid, per facet, Scott's bandwidth.
 
-    Equal values are merged first; each grid point is one partial aggregate, so
-    the rows are never multiplied by the grid.
+    Each grid point is one partial aggregate, so the rows are never multiplied by
+    the grid.
     """
     low, high = df.agg(F.min(value), F.max(value)).first()
     if low is None:
@@ -97,10 +96,9 @@ def density(df: DataFrame, facets: list[str], value: str, points: int) -> DataFr
         F.count(value).alias("_n"),
         (F.stddev_samp(value) * F.pow(F.count(value), F.lit(-0.2))).alias("_bw"),
     )
-    counts = df.groupBy(*facets, value).agg(F.count(value).alias("_c"))
     z = lambda g: (F.lit(g) - F.col(value)) / F.col("_bw")
-    sums = lookup(counts, spread, [(f, f"_{f}") for f in facets]).groupBy(*facets, "_n", "_bw").agg(
-        *[F.sum(F.col("_c") * F.exp(-0.5 * z(g) * z(g))).alias(f"g{i}") for i, g in enumerate(grid)]
+    sums = lookup(df.select(*facets, value), spread, [(f, f"_{f}") for f in facets]).groupBy(*facets, "_n", "_bw").agg(
+        *[F.sum(F.exp(-0.5 * z(g) * z(g))).alias(f"g{i}") for i, g in enumerate(grid)]
     )
     scale = F.col("_n") * F.col("_bw") * (2 * 3.141592653589793) ** 0.5
     return sums.select(*facets, *[(F.col(f"g{i}") / scale).alias(str(i)) for i in range(points)]).unpivot(

@@ -15,11 +15,11 @@ def _n():
 
 @query("e01_sum_two_keys", """
 SELECT m, flag, round(sum(l_quantity), 2) AS quantity FROM (
-  SELECT strftime(l_shipdate, '%m') AS m, nullif(l_returnflag, 'N') AS flag, l_quantity FROM lineitem)
+  SELECT month(l_shipdate) AS m, nullif(l_returnflag, 'N') AS flag, l_quantity FROM lineitem)
 WHERE flag IS NOT NULL GROUP BY 1, 2""")
 def sum_two_keys(t):
     """Rows without a key are left out, as a pandas group-by does."""
-    keyed = t.lineitem.select(F.date_format("l_shipdate", "MM").alias("m"),
+    keyed = t.lineitem.select(F.month("l_shipdate").cast("bigint").alias("m"),
                               F.nullif("l_returnflag", F.lit("N")).alias("flag"), "l_quantity")
     return keyed.filter(F.col("flag").isNotNull()).groupBy("m", "flag").agg(
         F.round(F.sum("l_quantity"), 2).alias("quantity"))
@@ -28,10 +28,10 @@ def sum_two_keys(t):
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
 
-@query("e02_means_two_keys", "SELECT strftime(l_shipdate, '%m') AS m, l_returnflag, "
+@query("e02_means_two_keys", "SELECT month(l_shipdate) AS m, l_returnflag, "
        + ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in _MEASURES) + " FROM lineitem GROUP BY 1, 2")
 def means_two_keys(t):
-    return t.lineitem.groupBy(F.date_format("l_shipdate", "MM").alias("m"), "l_returnflag").agg(
+    return t.lineitem.groupBy(F.month("l_shipdate").cast("bigint").alias("m"), "l_returnflag").agg(
         *[F.round(F.avg(c), 6).alias(f"avg_{c}") for c in _MEASURES])
 
 
@@ -103,13 +103,15 @@ def _active_month(t):
 SELECT strftime(ts, '%Y-%m-%d') AS dt, count(DISTINCT user_id) AS users FROM events
 WHERE ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-30' GROUP BY 1""")
 def distinct_per_day(t):
-    return _active_month(t).groupBy(day("ts").alias("dt")).agg(F.count_distinct("user_id").alias("users"))
+    return _active_month(t).groupBy(F.to_date("ts").alias("d")).agg(F.count_distinct("user_id").alias("users")).select(
+        day("d").alias("dt"), "users")
 
 
 @query("e10_approx_distinct_per_day")
 def approx_distinct_per_day(t):
     """Sketch version: one small state per day instead of a shuffle of all users."""
-    return _active_month(t).groupBy(day("ts").alias("dt")).agg(F.approx_count_distinct("user_id", 0.02).alias("users"))
+    return _active_month(t).groupBy(F.to_date("ts").alias("d")).agg(
+        F.approx_count_distinct("user_id", 0.02).alias("users")).select(day("d").alias("dt"), "users")
 
 
 @query("e11_sum_of_product", "SELECT round(sum(l_quantity * l_extendedprice), 2) AS total FROM lineitem")
@@ -147,7 +149,7 @@ def conditional_count_sum(t):
 def anagram_groups(words):
     """Long form: each word with its letter signature, and the first word and size of its group."""
     keyed = words.select("word", T.letters_sorted(F.col("word")).alias("letters"))
-    return Ordered(keyed, ["letters"], ["word"]).scan(
+    return Ordered(keyed, ["letters"], ["word"], settle=True).scan(
         first=total("min", "word"), size=total("sum", F.lit(1).cast("bigint"))).rows()
 
 

@@ -39,10 +39,10 @@ SELECT *, coalesce(lag(n) OVER w, 0) AS before, coalesce(lead(n) OVER w, 0) AS a
 WINDOW w AS (PARTITION BY o_orderpriority ORDER BY m)""")
 def lag_lead(t):
     """Monthly counts first: a window partition then holds one row per calendar month."""
-    months = t.orders.groupBy("o_orderpriority", month("o_orderdate").alias("m")).agg(F.count(F.lit(1)).alias("n"))
-    w = W.partitionBy("o_orderpriority").orderBy("m")
-    return months.withColumns({"before": F.coalesce(F.lag("n").over(w), F.lit(0)),
-                               "after": F.coalesce(F.lead("n").over(w), F.lit(0))})
+    months = t.orders.groupBy("o_orderpriority", F.trunc("o_orderdate", "MM").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    w = W.partitionBy("o_orderpriority").orderBy("d")
+    return months.select("o_orderpriority", month("d").alias("m"), "n", F.coalesce(F.lag("n").over(w), F.lit(0)).alias("before"),
+                         F.coalesce(F.lead("n").over(w), F.lit(0)).alias("after"))
 
 
 @query("f03_ntile", """

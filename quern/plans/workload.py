@@ -146,10 +146,10 @@ WITH m AS (SELECT strftime(l_shipdate, '%Y-%m') AS m, sum({_REV}) AS r FROM line
 SELECT m, round(r, 4) AS revenue, coalesce(round(CASE WHEN b = 0 THEN 0 ELSE (r - b) / b * 100 END, 6), 0) AS growth FROM p""")
 def monthly_growth(t):
     """The window runs over one row per calendar month."""
-    months = t.lineitem.groupBy(month("l_shipdate").alias("m")).agg(F.sum(revenue()).alias("r"))
-    b = F.lag("r").over(W.orderBy("m"))
+    months = t.lineitem.groupBy(F.trunc("l_shipdate", "MM").alias("d")).agg(F.sum(revenue()).alias("r"))
+    b = F.lag("r").over(W.orderBy("d"))
     return months.withColumn("b", b).select(
-        "m", F.round("r", 4).alias("revenue"),
+        month("d").alias("m"), F.round("r", 4).alias("revenue"),
         F.coalesce(F.round(X.div0(F.col("r") - F.col("b"), F.col("b")) * 100, 6), F.lit(0.0)).alias("growth"))
 
 

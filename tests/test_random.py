@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import curation, graph, regress, sequence, similarity
-from quern.operators.ordered import Ordered, exact_quantiles, position, running, shift, total
+from quern.operators import quantiles
+from quern.operators.ordered import Ordered, position, running, shift, total
 
 
 def sequences(seed, keys=4, most=60, items=5):
@@ -52,10 +53,13 @@ def test_scan_without_keys(spark, both_ways):
     assert {r.i: (r.s, r.p) for r in rows} == {i: (sum(values[: i + 1]), values[i - 1] if i else None) for i in range(50)}
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 20])
 @pytest.mark.parametrize("probs", [[0.25, 0.5, 0.75], [0.0, 0.9, 1.0]])
-def test_quantiles(spark, both_ways, probs):
-    data = sequences(7, items=30)
-    for r in exact_quantiles(frame(spark, data), ["k"], "v", probs).collect():
+def test_quantiles(spark, both_ways, probs, accuracy, monkeypatch):
+    """With the low accuracy the large group takes the narrow-range path."""
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    data = sequences(7, most=700, items=300)
+    for r in quantiles.exact_quantiles(frame(spark, data), ["k"], "v", probs).collect():
         assert [r[f"q{i}"] for i in range(3)] == pytest.approx(list(np.quantile(data[r.k], probs)))
 
 
