@@ -169,13 +169,14 @@ def audit(pairs: DataFrame, key: str) -> DataFrame:
 
 
 def rejection_reason() -> Column:
-    """The stage in words, with the number that failed."""
+    """The stage in words, with the number that failed to two places."""
     stage = F.col("stage")
+    number = lambda c: F.format_number(c, 2)  # noqa: E731  # rounds the binary value, unlike format_string
     return (
         F.when(stage == "EXEC", "EXEC_FAIL: not a read-only query")
-        .when(stage == "CONSISTENCY", F.format_string("CONSISTENCY_FAIL: score=%.2f", "cosine"))
+        .when(stage == "CONSISTENCY", F.concat(F.lit("CONSISTENCY_FAIL: score="), number("cosine")))
         .when(stage == "DEDUP", "DEDUP: near-duplicate of accepted question")
-        .when(stage == "QUALITY", F.format_string("QUALITY_FAIL: score=%.2f", "score")))
+        .when(stage == "QUALITY", F.concat(F.lit("QUALITY_FAIL: score="), number("score"))))
 
 
 def funnel(audited: DataFrame) -> DataFrame:

@@ -115,12 +115,11 @@ def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     state = vertices.select("v", F.col("v").alias("label")).distinct().checkpoint()
     while True:
         heard = lookup(both, state, [("src", "v")]).groupBy(F.col("dst").alias("v")).agg(F.min("label").alias("new"))
-        nearer = state.join(heard, "v", "left").select("v", "label", F.least("label", "new").alias("new")).checkpoint()
-        roots = nearer.select(F.col("v").alias("_v"), F.col("new").alias("_root"))
-        jumped = lookup(nearer, roots, [("new", "_v")], "left").select(
-            "v", "label", F.least("new", "_root").alias("new")).checkpoint()
-        state = jumped.select("v", F.col("new").alias("label"))
-        if jumped.filter("new <> label").isEmpty():
+        roots = state.select(F.col("v").alias("_v"), F.col("label").alias("_root"))
+        told = lookup(state.join(heard, "v", "left"), roots, [("label", "_v")], "left").select(
+            "v", "label", F.least("label", "new", "_root").alias("new")).checkpoint()
+        state = told.select("v", F.col("new").alias("label"))
+        if told.filter("new <> label").isEmpty():
             return state
 
 

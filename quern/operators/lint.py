@@ -99,7 +99,9 @@ def relevant_tables(questions: DataFrame, key: str, text: str, most: int = 8, le
 
     Tables without any match only fill up to ``least``, in catalogue order.
     """
-    low = F.lower(F.col(text))
+    # a projection of its own: the text is lower-cased once, not once per term
+    questions = questions.select(key, F.lower(F.col(text)).alias("_low"))
+    low = F.col("_low")
     scored = []
     for place, table in enumerate(catalogue.TABLES):
         score = reduce(

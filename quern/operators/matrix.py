@@ -39,21 +39,25 @@ def product(a: DataFrame, b: DataFrame, block: int = BLOCK) -> DataFrame:
     pair of blocks, of bounded size however the entries are spread, and adds up
     the inner range before anything is shuffled.
     """
-    cut = lambda c: F.floor(F.col(c) / block)
+    cut = lambda c: F.floor(F.col(c) / block).cast("bigint")
     a_rows, b_cols = (m.agg(F.min(cut(c)), F.max(cut(c))).first() for m, c in ((a, "i"), (b, "j")))
     if a_rows[0] is None or b_cols[0] is None:
         return a.limit(0)
-    spread = lambda r: F.explode(F.sequence(F.lit(r[0]), F.lit(r[1])))
-    left = a.select("i", F.col("j").alias("k"), "v", cut("i").alias("bi"), cut("j").alias("bk"), spread(b_cols).alias("bj"))
-    right = b.select(F.col("i").alias("k"), "j", "v", spread(a_rows).alias("bi"), cut("i").alias("bk"), cut("j").alias("bj"))
+    # bigint like cut(): both sides of the cogroup must hash their keys alike
+    spread = lambda r: F.explode(F.sequence(*[F.lit(x).cast("bigint") for x in r]))
+    # every column gets a name of its own: a and b may be made from the same table
+    left = a.select(F.col("i").alias("row"), F.col("j").alias("a_k"), F.col("v").alias("a_v"),
+                    cut("i").alias("bi"), cut("j").alias("bk"), spread(b_cols).alias("bj"))
+    right = b.select(F.col("i").alias("b_k"), F.col("j").alias("col"), F.col("v").alias("b_v"),
+                     spread(a_rows).alias("bi"), cut("i").alias("bk"), cut("j").alias("bj"))
 
     def multiply(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         bi, bk, bj = key
         if x.empty or y.empty:
             return pd.DataFrame({"i": [], "j": [], "v": []})
         dense_x, dense_y = np.zeros((block, block)), np.zeros((block, block))
-        dense_x[x.i - bi * block, x.k - bk * block] = x.v
-        dense_y[y.k - bk * block, y.j - bj * block] = y.v
+        dense_x[x.row - bi * block, x.a_k - bk * block] = x.a_v
+        dense_y[y.b_k - bk * block, y.col - bj * block] = y.b_v
         out = dense_x @ dense_y
         reached = (np.abs(dense_x) > 0).astype(float) @ (np.abs(dense_y) > 0).astype(float) > 0
         i, j = np.nonzero(reached)

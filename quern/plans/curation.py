@@ -134,15 +134,21 @@ def quotas(t):
         "doc_id", "tier", F.col("place").cast("bigint").alias("place"))
 
 
+_OPEN = "CASE tier " + " ".join(
+    f"WHEN '{k}' THEN greatest(1, round_even((SELECT count(*) // 2 FROM documents) * CAST({v} AS DOUBLE), 0))"
+    for k, v in curation.TIER_SHARES.items()) + " END"
+
+
 @query("m08_sample_remaining", f"""
-WITH {_TIERED}, r AS (SELECT tier, greatest({_QUOTA} - count_if(lang = 'fr'), 0) / greatest(count_if(lang <> 'fr'), 1) AS rate
+WITH {_TIERED}, r AS (SELECT tier, greatest({_OPEN} - count_if(lang = 'fr'), 0) / greatest(count_if(lang <> 'fr'), 1) AS rate
   FROM tiered GROUP BY 1)
 SELECT doc_id, tier FROM tiered JOIN r USING (tier) WHERE lang <> 'fr' AND {_HASH.format("doc_id || '-draw'")} < least(rate, 1.0) * 4294967296""")
 def sample_remaining(t):
-    """French documents count as accepted already; the others fill what is left."""
+    """Half of all documents are wanted; the French ones count as accepted already."""
     rows = tiered_documents(t)
     return curation.sample_remaining(
-        rows.filter("lang <> 'fr'"), "tier", "doc_id", rows.filter("lang = 'fr'"), curation.tier_targets(500), "draw").select("doc_id", "tier")
+        rows.filter("lang <> 'fr'"), "tier", "doc_id", rows.filter("lang = 'fr'"),
+        curation.tier_targets(t.documents.count() // 2), "draw").select("doc_id", "tier")
 
 
 def candidate_pairs(t):

@@ -22,14 +22,14 @@ def stream_parquet(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def trailing_counts(events: DataFrame, key: str, time: str, tie: str, window: int = 3_000_000, bucket: int = 6 * HOUR,
-                    late: str = "10 minutes") -> DataFrame:
+                    late: str = "10 minutes", shards: int = 256) -> DataFrame:
     """(key, tie, n): for each event as it arrives, the key's events in the closed window before it.
 
-    ``time`` is a timestamp; ``window`` and ``bucket`` are microseconds.  The state
-    belongs to a key and a stretch of time, so a busy key is spread over tasks; an
-    event near the end of a stretch is also shown to the next one.  State holds
-    only the trailing window and is dropped once the watermark has passed the
-    stretch.  Events later than the watermark are dropped.
+    ``time`` is a timestamp; ``window`` and ``bucket`` are microseconds.  Events are
+    spread over shards by key and stretch of time, so a busy key moves through all
+    shards; an event near the end of a stretch is also shown to the next one.  A
+    shard's state holds the trailing window of its keys and nothing older.  Events
+    later than the watermark are dropped.
     """
     at = F.unix_micros(time)
     own = F.floor(at / bucket)
@@ -37,30 +37,31 @@ def trailing_counts(events: DataFrame, key: str, time: str, tie: str, window: in
     spread = F.array_compact(F.array(own, F.when(near_end, own + 1)))
     rows = events.withWatermark(time, late).select(
         F.col(key).cast("bigint").alias("k"), F.col(time).alias("ts"), at.alias("at"), F.col(tie).cast("bigint").alias("id"),
-        own.alias("own"), F.explode(spread).alias("part"))
-
-    def count(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        k, part = group
-        if state.hasTimedOut:
-            state.remove()
-            return
-        past_at, past_id = (list(x) for x in state.get) if state.exists else ([], [])
-        new = pd.concat(list(batches)).sort_values(["at", "id"])
-        a = np.concatenate([np.asarray(past_at, dtype=np.int64), new["at"].to_numpy(dtype=np.int64)])
-        i = np.concatenate([np.asarray(past_id, dtype=np.int64), new["id"].to_numpy(dtype=np.int64)])
-        order = np.lexsort((i, a))
-        fresh = np.concatenate([np.zeros(len(past_at), bool), (new["own"] == part).to_numpy()])[order]
-        a, i = a[order], i[order]
-        n = np.arange(1, len(a) + 1) - np.searchsorted(a, a - window, side="left")
-        live = a >= a[-1] - window
-        state.update((a[live].tolist(), i[live].tolist()))
-        ends = ((part + 1) * bucket + window) // 1000
-        state.setTimeoutTimestamp(max(int(ends), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"k": k, "id": i[fresh], "n": n[fresh]})
-
-    out = rows.groupBy("k", "part").applyInPandasWithState(
-        count, "k bigint, id bigint, n bigint", "at array<bigint>, id array<bigint>", "append",
-        GroupStateTimeout.EventTimeTimeout)
+        own.alias("own"), F.explode(spread).alias("part")).withColumn(
+        "shard", F.pmod(F.xxhash64("k", "part"), F.lit(shards)).cast("int"))
+    wide = bucket + 2 * window + 1
+    names = ["k", "part", "at", "id"]
+
+    def count(_shard: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(batches))
+        old = state.get if state.exists else ([], [], [], [])
+        k, part, a, i = (np.concatenate([np.asarray(o, dtype=np.int64), new[n].to_numpy(dtype=np.int64)])
+                         for n, o in zip(names, old))
+        fresh = np.concatenate([np.zeros(len(old[0]), bool), (new["own"] == new["part"]).to_numpy()])
+        order = np.lexsort((i, a, part, k))
+        k, part, a, i, fresh = k[order], part[order], a[order], i[order], fresh[order]
+        starts = np.concatenate([[True], (k[1:] != k[:-1]) | (part[1:] != part[:-1])])
+        group = np.cumsum(starts) - 1
+        place = group * wide + (a - part * bucket) + window  # grows through all groups
+        n = np.arange(1, len(a) + 1) - np.searchsorted(place, place - window, side="left")
+        newest = a[np.concatenate([np.flatnonzero(starts)[1:] - 1, [len(a) - 1]])][group]
+        live = (a >= newest - window) & (a >= state.getCurrentWatermarkMs() * 1000 - window)
+        state.update(tuple(x[live].tolist() for x in (k, part, a, i)))
+        yield pd.DataFrame({"k": k[fresh], "id": i[fresh], "n": n[fresh]})
+
+    out = rows.groupBy("shard").applyInPandasWithState(
+        count, "k bigint, id bigint, n bigint", ", ".join(f"{n} array<bigint>" for n in names), "append",
+        GroupStateTimeout.NoTimeout)
     return out.select(F.col("k").alias(key), F.col("id").alias(tie), "n")
 
 

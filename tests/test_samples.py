@@ -250,9 +250,15 @@ def coords(spark, rows):
 
 @pytest.mark.parametrize("block", [512, 2])
 def test_product(spark, block):
-    a, b = [[1, 2, 3], [4, 5, 6], [7, 8, 9]], [[9, 8, 7], [6, 5, 4], [3, 2, 1]]
-    got = {(r.i, r.j): r.v for r in matrix.product(coords(spark, a), coords(spark, b), block).collect()}
-    assert got == {(i, j): sum(a[i][k] * b[k][j] for k in range(3)) for i in range(3) for j in range(3)}
+    a = [[3 * i + j + 1 for j in range(5)] for i in range(3)]
+    b = [[9 - 2 * i + j for j in range(7)] for i in range(5)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the blocks in separate partitions
+    try:
+        rows = matrix.product(coords(spark, a), coords(spark, b), block).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {(r.i, r.j): r.v for r in rows} == {
+        (i, j): sum(a[i][k] * b[k][j] for k in range(5)) for i in range(3) for j in range(7)}
 
 
 def test_covariance(spark):

@@ -89,6 +89,8 @@ def main() -> int:
     parser.add_argument("--sf", default="0.01")
     parser.add_argument("--set", action="append", default=[])
     parser.add_argument("--quiet", action="store_true")
+    parser.add_argument("--no-sql", action="store_true", help="only time the queries")
+    parser.add_argument("--skip", action="append", default=[])
     parser.add_argument("prefix", nargs="*")
     args = parser.parse_args()
     directory = f"/root/testdata/sf{args.sf}"
@@ -99,10 +101,15 @@ def main() -> int:
     for name, fn in QUERIES.items():
         if args.prefix and not any(name.startswith(p) for p in args.prefix):
             continue
+        if any(name.startswith(p) for p in args.skip):
+            continue
         start = time.time()
         try:
             frame = fn(spark, directory)
-            if name in ORACLES:
+            if args.no_sql:
+                frame.write.format("noop").mode("overwrite").save()
+                result = "ok timed"
+            elif name in ORACLES:
                 result = compare(frame, con, ORACLES[name])
             else:
                 result = f"rows-only {len(frame.collect())}"
