@@ -26,16 +26,15 @@ def shortest_paths(edges: DataFrame, source) -> DataFrame:
     zero = F.lit(0).cast(dict(edges.dtypes)["w"])
     start = edges.filter(F.col("src") == F.lit(source)).limit(1).select(F.col("src").alias("v"), zero.alias("dist"))
     known = frontier = start.checkpoint()
-    while True:
-        reached = lookup(edges, frontier, [("src", "v")]).groupBy(F.col("dst").alias("v")).agg(
+    while size := frontier.count():
+        reached = lookup(edges, frontier, [("src", "v")], dim_rows=size).groupBy(F.col("dst").alias("v")).agg(
             F.min(F.col("dist") + F.col("w")).alias("new"))
         merged = known.join(reached, "v", "full").select(
             "v", F.least("dist", "new").alias("dist"),
             (F.col("new").isNotNull() & (F.col("dist").isNull() | (F.col("new") < F.col("dist")))).alias("better")).checkpoint()
         frontier = merged.filter("better").drop("better")
         known = merged.drop("better")
-        if frontier.isEmpty():
-            return known
+    return known
 
 
 def network_delay(edges: DataFrame, source) -> DataFrame:
@@ -57,14 +56,12 @@ def levels(edges: DataFrame, vertices: DataFrame, failed: DataFrame | None = Non
         edges.groupBy(F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("need")), "v", "left"
     ).withColumn("need", F.coalesce("need", F.lit(0))).checkpoint()
     placed, level = None, 0
-    while True:
+    while size := open_.filter("need = 0").count():
         ready = open_.filter("need = 0").select("v")
-        if ready.isEmpty():
-            break
         part = ready.withColumn("level", F.lit(level).cast("bigint"))
         placed = part if placed is None else placed.unionByName(part)
         pushing = ready if failed is None else ready.join(failed.select("v"), "v", "left_anti")
-        met = lookup(edges, pushing.withColumnRenamed("v", "_v"), [("src", "_v")]).groupBy(
+        met = lookup(edges, pushing.withColumnRenamed("v", "_v"), [("src", "_v")], dim_rows=size).groupBy(
             F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("met"))
         open_ = open_.filter("need > 0").join(met, "v", "left").select(
             "v", (F.col("need") - F.coalesce("met", F.lit(0))).alias("need")).checkpoint()
@@ -85,7 +82,7 @@ def letter_rules(words: DataFrame, word: str) -> DataFrame:
     ``words``: word and its place ``i``.  A word that is followed by its own proper
     prefix contradicts every order and gives the edge of a letter to itself.
     """
-    pairs = Ordered(words.select("i", word), [], ["i"]).scan(before=shift(word)).rows().filter(F.col("before").isNotNull())
+    pairs = Ordered(words.select("i", word), [], ["i"], settle=True).scan(before=shift(word)).rows().filter(F.col("before").isNotNull())
     a, b = F.col("before"), F.col(word)
     places = F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)), F.lit(1)))
     differs = F.filter(places, lambda p: F.substring(a, p, F.lit(1)) != F.substring(b, p, F.lit(1)))
@@ -113,10 +110,11 @@ def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     both = edges.select("src", "dst").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct().checkpoint()
     state = vertices.select("v", F.col("v").alias("label")).distinct().checkpoint()
+    size = state.count()
     while True:
-        heard = lookup(both, state, [("src", "v")]).groupBy(F.col("dst").alias("v")).agg(F.min("label").alias("new"))
+        heard = lookup(both, state, [("src", "v")], dim_rows=size).groupBy(F.col("dst").alias("v")).agg(F.min("label").alias("new"))
         roots = state.select(F.col("v").alias("_v"), F.col("label").alias("_root"))
-        told = lookup(state.join(heard, "v", "left"), roots, [("label", "_v")], "left").select(
+        told = lookup(state.join(heard, "v", "left"), roots, [("label", "_v")], "left", dim_rows=size).select(
             "v", "label", F.least("label", "new", "_root").alias("new")).checkpoint()
         state = told.select("v", F.col("new").alias("label"))
         if told.filter("new <> label").isEmpty():

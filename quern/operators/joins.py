@@ -11,18 +11,21 @@ from quern import settings
 from quern.operators.ordered import hot_keys, null_safe
 
 
-def lookup(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], how: str = "inner") -> DataFrame:
+def lookup(
+    fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], how: str = "inner", dim_rows: int | None = None
+) -> DataFrame:
     """Join a large table to one whose key is unique (``how``: inner or left).
 
     ``on`` pairs fact columns with dimension columns; their names must differ.
     A small dimension is broadcast after its row count was checked.  A large one is
     shuffled, except for the keys that are hot in the fact table: their rows meet a
     broadcast of just those dimension rows, at most ``quern.block.max`` of them.
+    ``dim_rows`` is the dimension's row count where the caller has it already.
     """
     spark = fact.sparkSession
     fact_keys, dim_keys = [F.col(a) for a, _ in on], [F.col(b) for _, b in on]
     same = reduce(lambda x, y: x & y, [a == b for a, b in zip(fact_keys, dim_keys)])
-    if dim.count() <= settings.limit(spark, settings.BROADCAST_ROWS):
+    if (dim.count() if dim_rows is None else dim_rows) <= settings.limit(spark, settings.BROADCAST_ROWS):
         return fact.join(F.broadcast(dim), same, how)
     present = reduce(lambda x, y: x & y, [a.isNotNull() for a in fact_keys])
     hot, _ = hot_keys(fact.filter(present), [a for a, _ in on])

@@ -79,7 +79,7 @@ WITH RECURSIVE {VOCABULARY_SQL}, p AS (SELECT w AS b, lag(w) OVER (ORDER BY w) A
  v AS MATERIALIZED (SELECT DISTINCT unnest(string_split(w, '')) AS v FROM vocab), {_LEVELS}
 SELECT v, max(level) AS level FROM l GROUP BY 1""")
 def letter_order(t):
-    words = Ordered(vocabulary(t), [], ["word"]).scan(i=position()).rows()
+    words = Ordered(vocabulary(t), [], ["word"], settle=True).scan(i=position()).rows()
     return graph.letter_levels(words, "word")
 
 
