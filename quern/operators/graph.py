@@ -143,12 +143,11 @@ def leaf_sequence(nodes: DataFrame, tree: list[str]) -> DataFrame:
         F.when(F.col("parent").isNull(), "").otherwise(F.col("side").cast("string")).alias("path")).checkpoint()
     parents = paths.select(*tree, F.col("up").alias("node")).filter(F.col("node").isNotNull()).distinct()
     leaves = paths.select(*tree, "node").join(parents, [*tree, "node"], "left_anti").checkpoint()
-    size = paths.count()
     while not paths.filter(F.col("up").isNotNull()).isEmpty():
         above = paths.select(*[F.col(c).alias(f"_{c}") for c in tree], F.col("node").alias("_node"),
                              F.col("up").alias("_up"), F.col("path").alias("_path"))
         # towards the end most nodes of a tree ask for the same few ancestors
-        joined = lookup(paths, above, [*[(c, f"_{c}") for c in tree], ("up", "_node")], "left", dim_rows=size)
+        joined = lookup(paths, above, [*[(c, f"_{c}") for c in tree], ("up", "_node")], "left")
         paths = joined.select(
             *tree, "node", "value", F.col("_up").alias("up"),
             F.concat(F.coalesce("_path", F.lit("")), "path").alias("path")).checkpoint()

@@ -4,28 +4,52 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern import settings
 from quern.operators.ordered import hot_keys, null_safe
 
 
+def _bytes(field: T.StructField) -> Column:
+    """Size of a value: texts and arrays are measured, the rest is small and fixed."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 24
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 24
+    return F.lit(16)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """One pass over a table to learn whether its rows and bytes may be broadcast."""
+    width = reduce(lambda a, b: a + b, [_bytes(f) for f in df.schema.fields])
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return rows <= settings.limit(df.sparkSession, settings.BROADCAST_ROWS) and (size or 0) <= settings.limit(
+        df.sparkSession, settings.BROADCAST_BYTES)
+
+
 def lookup(
     fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], how: str = "inner", dim_rows: int | None = None
 ) -> DataFrame:
     """Join a large table to one whose key is unique (``how``: inner or left).
 
     ``on`` pairs fact columns with dimension columns; their names must differ.
-    A small dimension is broadcast after its row count was checked.  A large one is
+    A small dimension is broadcast after its rows and bytes were checked.  A large one is
     shuffled, except for the keys that are hot in the fact table: their rows meet a
     broadcast of just those dimension rows, at most ``quern.block.max`` of them.
-    ``dim_rows`` is the dimension's row count where the caller has it already.
+    ``dim_rows`` is the row count of a dimension of a few numbers per row, where the
+    caller has it already.
     """
     spark = fact.sparkSession
     fact_keys, dim_keys = [F.col(a) for a, _ in on], [F.col(b) for _, b in on]
     same = reduce(lambda x, y: x & y, [a == b for a, b in zip(fact_keys, dim_keys)])
-    if (dim.count() if dim_rows is None else dim_rows) <= settings.limit(spark, settings.BROADCAST_ROWS):
+    if dim_rows is None:
+        small = fits_broadcast(dim)
+    else:
+        small = dim_rows <= settings.limit(spark, settings.BROADCAST_ROWS)
+    if small:
         return fact.join(F.broadcast(dim), same, how)
     present = reduce(lambda x, y: x & y, [a.isNotNull() for a in fact_keys])
     hot, _ = hot_keys(fact.filter(present), [a for a, _ in on])

@@ -14,8 +14,9 @@ from pyspark.sql import SparkSession
 BLOCK_ROWS = ("quern.block.rows", 2_000_000)
 #: upper bound on the number of blocks, hence on every broadcast carry table
 BLOCK_MAX = ("quern.block.max", 4096)
-#: rows of a dimension that may be broadcast
+#: rows and bytes of a dimension that may be broadcast
 BROADCAST_ROWS = ("quern.broadcast.rows", 500_000)
+BROADCAST_BYTES = ("quern.broadcast.bytes", 128 * 1024 * 1024)
 
 
 def limit(spark: SparkSession, setting: tuple[str, int]) -> int:
