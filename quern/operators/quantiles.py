@@ -11,7 +11,7 @@ from quern import settings
 from quern.operators.joins import lookup
 from quern.operators.ordered import Ordered, running
 
-ACCURACY = 10_000  # the sketch is off by at most 1 / ACCURACY of the group's rows
+ACCURACY = 2_000  # the sketch is off by at most 1 / ACCURACY of the group's rows
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:

@@ -64,8 +64,10 @@ def test_pair_operations(spark, values, target, want):
 
 
 def test_nearest_item(spark, both_ways):
-    out = intervals.nearest_item(seq(spark, list("loveleetcode"), "string"), ["k"], ["i"], "v", "e")
-    assert [r.distance for r in out.orderBy("i").collect()] == [3, 2, 1, 0, 1, 0, 0, 1, 2, 2, 1, 0]
+    text = "a very sleepy teapot"
+    out = intervals.nearest_item(seq(spark, list(text), "string"), ["k"], ["i"], "v", "e")
+    want = [min(abs(i - j) for j, c in enumerate(text) if c == "e") for i in range(len(text))]
+    assert [r.distance for r in out.orderBy("i").collect()] == want
 
 
 def test_closest_pairs(spark, both_ways):
