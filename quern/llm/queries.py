@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import simhash
+from quern.llm import decontaminate, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,13 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 @query("op1_simhash")
 def op1(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, directory, "documents"))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
+@query("op5_decontamination")
+def op5(spark: SparkSession, directory: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, directory, "documents"), table(spark, directory, "benchmark")).drop("h")
