@@ -88,7 +88,7 @@ def prepared(benchmark: DataFrame, shingle: int) -> DataFrame:
 
 def anchors(items: DataFrame, similarity: float) -> DataFrame:
     """(g, item, at, m, k): the rarest shingles of every item, as many as a similar window may lack and one more."""
-    placed = items.select("item", "m", "k", F.size("grams").alias("w"), F.posexplode("grams").alias("at", "g"))
+    placed = items.select("item", "m", "k", F.size("grams").alias("w"), F.posexplode_outer("grams").alias("at", "g"))
     held = placed.select("g", "item").distinct()
     rarity = held.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
     lacking = F.floor((1 - similarity) * F.col("w") + 1e-9)
@@ -103,7 +103,8 @@ def stretches(docs: DataFrame, found: DataFrame, k: int) -> DataFrame:
     text = text_column(docs)
     rows = docs.select(docs["doc_id"].alias("id"), F.xxhash64(text).alias("h"), words_of(text).alias("words"))
     hashes = rows.select("id", "h", shingles("words", k).alias("all"))
-    hits = hashes.select("id", "h", "all", F.posexplode("all").alias("p", "g")).join(F.broadcast(found), "g")
+    # outer: for an inner explode Spark would first filter by the size of `all`, and make all hashes twice
+    hits = hashes.select("id", "h", "all", F.posexplode_outer("all").alias("p", "g")).join(F.broadcast(found), "g")
     diagonal = F.col("p") - F.col("at")
     w = F.col("m") - k + 1
     base = F.greatest(diagonal - w + 1, F.lit(0))
@@ -158,7 +159,7 @@ def verified(docs: DataFrame, items: DataFrame, k: int, similarity: float) -> Da
                     f"i -> greatest(least(i, n - {w} - base), 0)))")
     enough = F.expr(f"filter(begins, i -> aggregate(slice(own, i + 1, {w}), 0, (a, x) -> a + x) >= {similarity} * {w} - 1e-9)")
     windows = hit.withColumn("begins", begins).withColumn("begins", enough).select(
-        "id", "h", "m", "k", "base", "part", F.explode("begins").alias("i")).select(
+        "id", "h", "m", "k", "base", "part", F.explode_outer("begins").alias("i")).filter("i IS NOT NULL").select(
         "id", "h", "m", "k", (F.col("base") + F.col("i")).alias("start"),
         F.expr(f"slice(part, i + 1, {w})").alias("window"))
     windows = windows.withColumn("fp", fingerprint("window"))
