@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ from quern.llm.common import pieces_of, text_column
 #: the public vocabulary used where none is named
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: bytes of text that are matched at once, stretches that a worker remembers, and the characters of one of these
-BATCH_BYTES, REMEMBERED, SHORT = 8 << 20, 300_000, 64
+#: bytes of text that are matched at once, stretches that a worker remembers, and ids that it remembers for each
+BATCH_BYTES, REMEMBERED, SHORT = 8 << 20, 600_000, 16
 START, NONE = -2, -1
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
@@ -106,7 +107,9 @@ class Vocabulary:
         self.alphabet = np.array([ord(p) for p in singles], np.uint32)
         self.longest = max(len(p) for p in self.pieces)
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
-        self.keys = self.windows_of(self.pieces)
+        keys = self.windows_of(self.pieces)[:, proper]
+        alphabetical = np.argsort(keys[0])  # neighbours are searched for one after the other
+        self.keys, self.sought = keys[:, alphabetical], np.flatnonzero(proper)[alphabetical].astype(np.int32)
         shown = [model.id_to_piece(i).replace(SPACE, " ").encode() if i not in special else b"" for i in every]
         for value, i in self.bytes.items():
             shown[i] = bytes([value])
@@ -153,37 +156,37 @@ class Vocabulary:
         wide = np.concatenate((chars, np.zeros(self.longest, np.uint16))).astype(">u2")
         suffixes = np.ndarray((len(chars),), f"S{2 * self.longest}", wide.data, 0, (2,))
         order = np.flatnonzero(chars > 1)
-        for at in range((self.longest - 1) // 4 * 4, -1, -4):  # stable sorts, four characters at a time
-            word = np.zeros(len(order), np.uint64)
-            for k in range(at, at + 4):
-                word = (word << np.uint64(16)) | wide[order + k if k < self.longest else -1].astype(np.uint64)
-            order = order[np.argsort(word, kind="stable")]
+        width = int(len(self.alphabet) + 2).bit_length()
+        step = 64 // width
+        for at in range((self.longest - 1) // step * step, -1, -step):  # stable sorts, `step` characters at a time
+            word = np.zeros(len(chars), np.uint64)
+            for k in range(at, min(at + step, self.longest)):
+                word = (word << np.uint64(width)) | wide[k:k + len(chars)].astype(np.uint64)
+            order = order[np.argsort(word[order], kind="stable")]
         ordered = suffixes[order]
-        usable = np.flatnonzero(self.proper)
-        low = np.searchsorted(ordered, self.keys[0, usable], "left")
-        high = np.searchsorted(ordered, self.keys[1, usable], "right")
-        n = high - low
-        piece = np.repeat(usable, n)
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        low = np.searchsorted(ordered, self.keys[0], "left")
+        n = np.searchsorted(ordered, self.keys[1], "right") - low
+        piece = np.repeat(self.sought, n)
+        place = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
         return order[place], piece
 
-    def match(self, stretches: list[str]) -> list[np.ndarray]:
-        """Ids of every stretch: at most one space character, at its beginning."""
+    def match(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all stretches in a row, number of ids of each): at most one space character, at a stretch's beginning."""
         sizes = np.array([len(s) for s in stretches])
         begin = np.cumsum(sizes + 1) - sizes - 1
         chars = np.zeros(int((sizes + 1).sum()), np.uint16)
         inside = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         joined = "".join(stretches)
         chars[inside] = self.letters(joined)
-        first = np.zeros(len(chars), np.int64)
+        first = np.zeros(len(chars), np.int32)
         first[inside] = np.repeat(begin, sizes)
         start, piece = self.edges(chars)
         lacking = np.flatnonzero(chars == 1)
-        start = np.concatenate((start, lacking))
-        piece = np.concatenate((piece, np.full(len(lacking), self.unknown)))
-        end = start + np.append(self.lengths, 1)[piece]
+        start = np.concatenate((start, lacking)).astype(np.int32)
+        piece = np.concatenate((piece, np.full(len(lacking), self.unknown, np.int32)))
+        end = start + np.append(self.lengths, 1).astype(np.int32)[piece]
         due = end - first[start]
-        by = np.argsort(due, kind="stable")
+        by = np.argsort(due.astype(np.uint16) if sizes.max(initial=0) < 1 << 16 else due, kind="stable")
         start, piece, end, due = start[by], piece[by], end[by], due[by]
         ends = np.full(len(chars) + 1, NONE, np.int64)  # the piece that ends at a place
         ends[begin] = START
@@ -199,7 +202,7 @@ class Vocabulary:
             ends[e[holds]], came[e[holds]] = p[holds], s[holds]
         return self.collected(begin, sizes, ends, came, chars, joined, inside)
 
-    def collected(self, begin, sizes, ends, came, chars, joined, inside) -> list[np.ndarray]:
+    def collected(self, begin, sizes, ends, came, chars, joined, inside) -> tuple[np.ndarray, np.ndarray]:
         """Walk all stretches from their ends to their beginnings; unknown characters become bytes."""
         owner, place, found = [], [], []
         who, at = np.arange(len(begin)), begin + sizes
@@ -224,53 +227,66 @@ class Vocabulary:
             heads = (np.cumsum(count) - count)[lacking]
             for head, c in zip(heads.tolist(), coded):
                 ids[head:head + len(c)] = [self.bytes[x] for x in c]
-        total = np.bincount(owner, count, len(begin)).astype(np.int64)
-        return np.split(ids, np.cumsum(total)[:-1])
+        return ids, np.bincount(owner, count, len(begin)).astype(np.int64)
 
     def run(self, n: int) -> list[int]:
         """Ids of n spaces in a row."""
         return [self.ident[p] for p in merged(SPACE * n, self.score)[0]]
 
-    def stretch_ids(self, stretches: list[str]) -> list[np.ndarray]:
-        """Ids of stretches that may begin with several spaces: the last joins the word, if it merges with it."""
-        spaces = [max(0, len(s) - len(s.lstrip(SPACE)) - 1) if s.strip(SPACE) else len(s) for s in stretches]
-        cores = [s[n:] for s, n in zip(stretches, spaces)]
-        named = sorted(set(cores) - {""})
-        found = dict(zip(named, self.match(named))) if named else {}
-        out = []
-        for n, core in zip(spaces, cores):
-            own = found.get(core, np.zeros(0, np.int32))
-            if n and len(own) and own[0] == self.ident[SPACE] and core[0] == SPACE:
+    def stretch_ids(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for stretches that may begin with several spaces: the last joins the word, if it merges with it."""
+        many = [i for i, s in enumerate(stretches) if s.startswith(SPACE * 2)]
+        cores, spaces = list(stretches), {}
+        for i in many:
+            s = stretches[i]
+            spaces[i] = len(s) - len(s.lstrip(SPACE)) - 1 if s.strip(SPACE) else len(s)
+            cores[i] = s[spaces[i]:]
+        ids, count = self.match(cores)
+        if not many:
+            return ids, count
+        parts = np.split(ids, np.cumsum(count)[:-1])
+        for i in many:
+            n, own = spaces[i], parts[i]
+            if len(own) and own[0] == self.ident[SPACE]:
                 n, own = n + 1, own[1:]
-            out.append(np.concatenate((np.array(self.run(n), np.int32), own)) if n else own)
-        return out
+            parts[i] = np.concatenate((np.array(self.run(n), np.int32), own))
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
 
 class Encoder:
-    """Encodes texts batch by batch and remembers short stretches."""
+    """Encodes texts batch by batch and remembers short stretches: their ids lie in one array that grows."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.known = vocabulary, {}
+        self.vocabulary = vocabulary
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def learn(self, stretches: list[str]) -> None:
+        ids, count = self.vocabulary.stretch_ids(stretches)
+        self.known.update(zip(stretches, range(len(self.known), len(self.known) + len(stretches))))
+        self.ids = np.concatenate((self.ids, ids))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(count)))
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """A list of ids per text."""
         marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in pc.fill_null(texts, "").to_pylist()]
         found = [STRETCH.findall(t) for t in marked]
-        distinct = set().union(*found)
-        new = sorted(distinct - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, sorted(distinct)
-        fresh = dict(zip(new, self.vocabulary.stretch_ids(new)))
-        number = {s: i for i, s in enumerate(distinct)}
-        ids = [fresh[s] if s in fresh else self.known[s] for s in distinct]
-        self.known.update((s, i) for s, i in fresh.items() if len(s) <= SHORT)
-        size = np.array([len(i) for i in ids], np.int64)
-        flat = np.concatenate([np.zeros(0, np.int32), *ids])
-        used = np.fromiter((number[s] for f in found for s in f), np.int64, sum(map(len, found)))
-        n = size[used]
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat((np.cumsum(size) - size)[used], n)
-        ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum([0, *map(len, found)])]
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[place], pa.int32()))
+        used = list(chain.from_iterable(found))
+        new = set(used).difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED or len(self.ids) > REMEMBERED * SHORT:
+            self.forget()
+            new = set(used)
+        if new:
+            self.learn(list(new))
+        number = np.fromiter(map(self.known.__getitem__, used), np.int64, len(used))
+        n = self.ends[number + 1] - self.ends[number]
+        tops = np.cumsum(n)
+        place = np.arange(n.sum()) + np.repeat(self.ends[number] - tops + n, n)
+        ends = np.concatenate(([0], tops))[np.cumsum([0, *map(len, found)])]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(self.ids[place], pa.int32()))
 
 
 def encode(text: Column, vocabulary: Vocabulary) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, simhash, toxicity
+from quern.llm import decontaminate, pieces, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,13 @@ def op3(spark: SparkSession, directory: str) -> DataFrame:
 @query("op5_decontamination")
 def op5(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, directory, "documents"), table(spark, directory, "benchmark")).drop("h")
+
+
+@query("op7_secrets")
+def op7(spark: SparkSession, directory: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, directory, "documents"))
+
+
+@query("op4_pieces")
+def op4(spark: SparkSession, directory: str) -> DataFrame:
+    return pieces.tokenize(table(spark, directory, "documents"))
