@@ -39,6 +39,22 @@ def semi_or_anti(docs: DataFrame, keys: DataFrame, how: str, column: str = "text
     return docs.join(F.broadcast(keys) if small else keys, same, how)
 
 
+#: equal rows that one task writes
+COPIES = 100_000
+
+
+def repeated(df: DataFrame, n: str, k: str, all_single: bool = False) -> DataFrame:
+    """Every row ``n`` times, with ``k`` from 0 to n - 1; rows with many copies are dealt out in parts."""
+    zero = F.lit(0).cast("bigint")
+    single = df.filter(F.col(n) == 1).withColumn(k, zero)
+    if all_single:
+        return single.drop(n)
+    step = lambda total, by: F.explode(F.sequence(zero, total - 1, F.lit(by).cast("bigint")))
+    parts = df.filter(F.col(n) > 1).withColumn("_at", step(F.col(n), COPIES)).repartition(F.xxhash64(*df.columns, "_at"))
+    many = parts.withColumn(k, step(F.least(F.col(n) - F.col("_at"), F.lit(COPIES)), 1))
+    return single.unionByName(many.withColumn(k, F.col(k) + F.col("_at")).drop("_at")).drop(n)
+
+
 def binaries(texts: pa.Array) -> list[bytes]:
     """UTF-8 bytes of every text, empty for a null."""
     return pc.fill_null(texts, "").cast(pa.large_binary()).to_pylist()

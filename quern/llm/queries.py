@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, pieces, secret_scan, simhash, toxicity
+from quern.llm import decontaminate, pieces, secret_scan, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,8 @@ def op7(spark: SparkSession, directory: str) -> DataFrame:
 @query("op4_pieces")
 def op4(spark: SparkSession, directory: str) -> DataFrame:
     return pieces.tokenize(table(spark, directory, "documents"))
+
+
+@query("op2_shards")
+def op2(spark: SparkSession, directory: str) -> DataFrame:
+    return sharding.shard(table(spark, directory, "documents"))
