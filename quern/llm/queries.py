@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, pieces, secret_scan, sharding, simhash, toxicity
+from quern.llm import decontaminate, licenses, pieces, quality, secret_scan, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,13 @@ def op4(spark: SparkSession, directory: str) -> DataFrame:
 @query("op2_shards")
 def op2(spark: SparkSession, directory: str) -> DataFrame:
     return sharding.shard(table(spark, directory, "documents"))
+
+
+@query("op6_licenses")
+def op6(spark: SparkSession, directory: str) -> DataFrame:
+    return licenses.scan(table(spark, directory, "documents"))
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, directory: str) -> DataFrame:
+    return quality.judge(table(spark, directory, "documents"), table(spark, directory, "labels"))
