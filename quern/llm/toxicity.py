@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from quern import settings
-from quern.llm.common import binaries, lowered, raw, text_column
+from quern.llm.common import binaries, lowered, pieces_of, raw, text_column
 
 #: labelled rows that the classifier is fitted on, at most (by hash of the id, so about that many)
 FIT_ROWS = 20_000
@@ -34,8 +34,8 @@ FIT_ROWS = 20_000
 FEATURES, BUCKETS, EVIDENCE = 4096, 1 << 20, 25.0
 #: lengths of word beginnings that are features besides the whole word
 BEGINNINGS = (4, 5, 6)
-#: distinct stretches and words that a worker remembers
-REMEMBERED = 200_000
+#: distinct stretches and words that a worker remembers, and bytes that it works on at once
+REMEMBERED, SLICE = 200_000, 4 << 20
 
 #: fixed values: letters that a sign may stand for
 LOOKS_LIKE = {
@@ -70,9 +70,10 @@ def letter_model(docs: DataFrame, column: str = "text") -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(STATES * STATES, np.int64)
         for batch in batches:
-            data, offsets = raw(batch.column(0))
-            c = codes(lowered(data))
-            total += np.bincount(c[:-1] * STATES + c[1:], minlength=STATES * STATES)
+            for part in pieces_of(batch.column(0), SLICE):
+                data, offsets = raw(part)
+                c = np.insert(codes(lowered(data)), offsets, EDGE)  # an edge on either side of every text
+                total += np.bincount(c[:-1] * STATES + c[1:], minlength=STATES * STATES)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
@@ -185,7 +186,8 @@ def restored(text: Column, model: np.ndarray) -> Column:
     def of_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decoder = Decoder(model)
         for batch in batches:
-            yield pa.array(decoder.restore(batch), pa.string())
+            parts = [decoder.restore(part) for part in pieces_of(batch, SLICE)]
+            yield pa.array([t for part in parts for t in part], pa.string())
 
     return of_batches(text)
 
@@ -248,8 +250,8 @@ class Scorer:
         def of_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             decoder, known = Decoder(model), {}
             for batch in batches:
-                texts = decoder.restore(batch)
-                z = np.array([weights[f].sum() for f in present(texts, known, wanted)]) + weights[-1]
+                found = [f for part in pieces_of(batch, SLICE) for f in present(decoder.restore(part), known, wanted)]
+                z = np.array([weights[f].sum() for f in found]) + weights[-1]
                 yield pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
 
         return of_batches(text)
