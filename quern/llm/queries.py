@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, licenses, pieces, quality, secret_scan, sharding, simhash, toxicity
+from quern.llm import decontaminate, licenses, ngrams, pieces, quality, secret_scan, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,8 @@ def op6(spark: SparkSession, directory: str) -> DataFrame:
 @query("op9_quality")
 def op9(spark: SparkSession, directory: str) -> DataFrame:
     return quality.judge(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
+@query("op10_language_model")
+def op10(spark: SparkSession, directory: str) -> DataFrame:
+    return ngrams.score_documents(table(spark, directory, "documents"))
