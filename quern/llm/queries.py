@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, licenses, ngrams, pieces, quality, secret_scan, sharding, simhash, toxicity
+from quern.llm import (
+    decontaminate,
+    licenses,
+    ngrams,
+    pages,
+    pieces,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +80,8 @@ def op9(spark: SparkSession, directory: str) -> DataFrame:
 @query("op10_language_model")
 def op10(spark: SparkSession, directory: str) -> DataFrame:
     return ngrams.score_documents(table(spark, directory, "documents"))
+
+
+@query("op8_pages")
+def op8(spark: SparkSession, directory: str) -> DataFrame:
+    return pages.main_text(table(spark, directory, "pages"))
