@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding (BPE models) by matching all pieces at once.
 
-A batch of texts is cut before each run of spaces (no piece reaches over such a place) and its
-distinct stretches are put one after the other into one array of characters.  A suffix
+A batch of texts is cut where no piece of the vocabulary can reach over: before each run of spaces, between a letter
+and most other signs, around characters that it lacks.  The distinct stretches are put one after the other into one array of characters.  A suffix
 array over it, sorted by as many characters as the longest piece has, is searched by halving for
 every piece of the vocabulary: the suffixes that begin with a piece are one range.  The
 ranges are edges (start, end, piece); sorted by end they are relaxed from left to right.
@@ -34,9 +34,10 @@ from quern.llm.common import pieces_of, text_column
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: bytes of text that are matched at once, stretches that a worker remembers, and ids that it remembers for each
-BATCH_BYTES, REMEMBERED, SHORT = 8 << 20, 600_000, 16
+BATCH_BYTES, REMEMBERED, SHORT = 3 << 20, 300_000, 16
+#: rows of ids that are decoded at once hold about so many ids
+BATCH_IDS = 1 << 20
 START, NONE = -2, -1
-STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
 def merged(text: str, score: dict[str, float]) -> tuple[list[str], tuple[str, str] | None]:
@@ -110,12 +111,23 @@ class Vocabulary:
         keys = self.windows_of(self.pieces)[:, proper]
         alphabetical = np.argsort(keys[0])  # neighbours are searched for one after the other
         self.keys, self.sought = keys[:, alphabetical], np.flatnonzero(proper)[alphabetical].astype(np.int32)
+        # characters that never follow a letter or digit inside a piece, and ASCII that is in no piece at all
+        after = {b for p in score for a, b in zip(p, p[1:]) if a.isalnum()}
+        apart = "".join(c for c in singles if not c.isalnum() and c != SPACE and c not in after)
+        lacking = "".join(c for c in map(chr, range(128)) if c not in score)
+        self.apart, self.lacking = (f"[{re.escape(x)}]" if x else "[^\\s\\S]" for x in (apart, lacking))
         shown = [model.id_to_piece(i).replace(SPACE, " ").encode() if i not in special else b"" for i in every]
         for value, i in self.bytes.items():
             shown[i] = bytes([value])
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
         self.shown_ends = np.cumsum([0, *map(len, shown)])
 
+    def stretches(self) -> re.Pattern:
+        """Cuts a text into stretches that merge each by itself."""
+        own, no = self.apart[1:-1] if self.apart != "[^\\s\\S]" else "", self.lacking[1:-1] if self.lacking != "[^\\s\\S]" else ""
+        inner = f"[^{SPACE}{own}{no}]"
+        return re.compile(f"{self.lacking}+|(?:{SPACE}+|{self.apart}|{inner})(?:{inner}+|(?<![^\\W_]){self.apart})*")
+
     def letters(self, text: str) -> np.ndarray:
         """Number of every character: 1 if the vocabulary lacks it; 0 is kept for the gaps between stretches."""
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -257,7 +269,7 @@ class Encoder:
     """Encodes texts batch by batch and remembers short stretches: their ids lie in one array that grows."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.cut = vocabulary, vocabulary.stretches().findall
         self.forget()
 
     def forget(self) -> None:
@@ -273,7 +285,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> pa.Array:
         """A list of ids per text."""
         marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in pc.fill_null(texts, "").to_pylist()]
-        found = [STRETCH.findall(t) for t in marked]
+        found = [self.cut(t) for t in marked]
         used = list(chain.from_iterable(found))
         new = set(used).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED or len(self.ids) > REMEMBERED * SHORT:
@@ -306,22 +318,25 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     """Text of a list of ids, without the space that encoding puts before it; bytes that are no text become U+FFFD."""
     shown, ends = vocabulary.shown, vocabulary.shown_ends
 
-    @arrow_udf("string")
-    def of_batch(lists: pa.Array) -> pa.Array:
-        lists = pc.fill_null(lists, [])
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    def texts_of(lists: pa.Array) -> Iterator[str]:
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
         if len(flat) and (flat.min() < 0 or flat.max() >= len(ends) - 1):
             raise ValueError("an id is outside the vocabulary")
-        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         n = ends[flat + 1] - ends[flat]
-        tops = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum(counts)))]
-        out, at = [], np.concatenate(([0], np.cumsum(counts)))
-        for i in range(len(lists)):
-            own, m = flat[at[i]:at[i + 1]], n[at[i]:at[i + 1]]
-            place = np.arange(tops[i + 1] - tops[i]) - np.repeat(np.cumsum(m) - m, m) + np.repeat(ends[own], m)
-            text = shown[place].tobytes().decode("utf-8", "replace")
-            out.append(text[1:] if text.startswith(" ") else text)
-        return pa.array(out, pa.string())
+        tops = np.cumsum(n)
+        place = np.arange(n.sum()) + np.repeat(ends[flat] - tops + n, n)
+        joined = shown[place].tobytes()
+        cuts = np.concatenate(([0], tops))[np.cumsum([0, *pc.list_value_length(lists).to_pylist()])].tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            text = joined[a:b].decode("utf-8", "replace")
+            yield text[1:] if text.startswith(" ") else text
+
+    @arrow_udf("string")
+    def of_batch(lists: pa.Array) -> pa.Array:
+        lists = pc.fill_null(lists, [])
+        group = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)) // BATCH_IDS
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lists)]
+        return pa.array([t for a, b in zip(cuts, cuts[1:]) for t in texts_of(lists.slice(a, b - a))], pa.string())
 
     return of_batch(ids)
 
