@@ -135,8 +135,9 @@ def sample_of(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     share = min(1.0, rows / max(total, 1))
     spread = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
     drawn = marks.filter(spread < int(share * 1_000_000))  # about `rows` ids
-    return docs.join(F.broadcast(drawn), docs["doc_id"] == drawn["id"]).select(
-        text_column(docs).alias("text"), drawn["quality"], (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)) == 0).alias("last"))
+    known = docs.select(docs["doc_id"].alias("own"), text_column(docs).alias("text"))
+    return known.join(F.broadcast(drawn), F.col("own") == F.col("id")).select("text", "quality", (
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)) == 0).alias("last"))
 
 
 def fitted(rows: np.ndarray, features: np.ndarray, values: np.ndarray, y: np.ndarray, width: int,

@@ -85,3 +85,10 @@ def op10(spark: SparkSession, directory: str) -> DataFrame:
 @query("op8_pages")
 def op8(spark: SparkSession, directory: str) -> DataFrame:
     return pages.main_text(table(spark, directory, "pages"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, directory: str) -> DataFrame:
+    import corpus_pipeline  # at the top of the repository
+
+    return corpus_pipeline.run(spark, directory)

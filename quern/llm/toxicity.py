@@ -274,8 +274,9 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, ro
     share = min(1.0, rows / max(total, 1))
     marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     ids = marks.select(F.col("doc_id").alias("id"), "toxic")
-    drawn = docs.join(F.broadcast(ids), docs["doc_id"] == F.col("id")).select(  # about `rows` ids
-        restored(text_column(docs), model).alias("text"), "toxic").checkpoint()
+    known = docs.select(docs["doc_id"].alias("own"), text_column(docs).alias("text"))
+    drawn = known.join(F.broadcast(ids), F.col("own") == F.col("id")).select(  # about `rows` ids
+        restored(F.col("text"), model).alias("text"), "toxic").checkpoint()
     n = dict(drawn.groupBy("toxic").count().collect())
     if len(n) < 2:
         rate = 1 - 1e-6 if n.get(1) else 1e-6
