@@ -120,7 +120,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
 
     start counts words from 0; n_words is the item's length (the document's, if that is shorter);
     bits is the distance of the fingerprints.  Words are runs of letters and digits in any case.
-    Ties go to the smallest start.  Null and empty texts hold nothing; an item without words is
+    Of equally similar windows that begin at a shingle of the item the first one counts.  Null and empty texts hold nothing; an item without words is
     never found, one with fewer than ``shingle`` words is one shingle.  Documents with the same id
     and text, and items with the same id and words, count once; a null id is an id like any other.
     Texts are read whole, other columns are not looked at, and empty tables give no rows.

@@ -3,8 +3,8 @@
 Three patterns find secrets by their surroundings or form.  Others betray themselves by their
 letters alone: two Markov models of characters, one of random strings and one of ordinary
 identifiers and words, are compared by their log-likelihood ratio on every longer token.
-Both are counted from a bounded sample of documents; the label of a string is whether the
-patterns take it for a secret.  The model of random strings is mixed with an even
+Both are counted from a bounded sample of documents: strings that the patterns take for a secret are labelled
+random, those of letters (and - and _) outside of them ordinary; tokens with digits outside of them have no label.  The model of random strings is mixed with an even
 distribution, since a few samples cannot show all kinds of them.
 
 Positions are code points.  They are the running sums of the lengths of the matches and of what is
@@ -24,8 +24,9 @@ from quern.llm.common import text_column
 FIT_ROWS = 10_000
 #: shortest token that is judged by its letters; bits per step of the ratio from which it is a secret
 TOKEN, BITS = 16, 1.0
-#: share of the even distribution in the model of random strings, and what every pair is counted more
-EVEN, MORE = 0.5, 0.02
+#: share of the even distribution in the model of random strings, what every character is counted more, and how many
+#: characters of a context weigh as much as the characters' own shares
+EVEN, MORE, LEAN = 0.5, 0.02, 5.0
 
 #: fixed values: the patterns, and the kinds in their order
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -80,12 +81,15 @@ def bigrams(strings: DataFrame, column: str) -> dict[tuple[str, str], int]:
 
 
 def chances(counts: dict[tuple[str, str], int], even: float) -> list[float]:
-    """log2 P(next | character) for all pairs of the alphabet."""
+    """log2 P(next | character) for all pairs of the alphabet, a rare context leaning on the characters' own shares."""
     size, out = len(ALPHABET), []
+    single = {b: MORE + sum(counts.get((a, b), 0) for a in ALPHABET) for b in ALPHABET}
+    whole = sum(single.values())
     for a in ALPHABET:
-        row = [counts.get((a, b), 0) + MORE for b in ALPHABET]
-        total = sum(row)
-        out += [math.log2((1 - even) * x / total + even / size) for x in row]
+        total = sum(counts.get((a, b), 0) for b in ALPHABET) + LEAN
+        for b in ALPHABET:
+            chance = (counts.get((a, b), 0) + LEAN * single[b] / whole) / total
+            out.append(math.log2((1 - even) * chance + even / size))
     return out
 
 
@@ -102,7 +106,7 @@ def train(docs: DataFrame, rows: int = FIT_ROWS) -> list[float]:
         all_matches("text", ACCESS), all_matches("text", HEX)).alias("v")).select(F.explode_outer("v").alias("v")).filter("v IS NOT NULL")
     ordinary = drawn.select(F.explode_outer(F.expr(
         rf"regexp_extract_all(regexp_replace(regexp_replace(text, {_quoted(ASSIGN)}, ' '), {_quoted(ACCESS + '|' + HEX)}, ' '), "
-        r"'(?<![A-Za-z0-9+/=_-])[A-Za-z][A-Za-z0-9+/=_-]{3,}', 0)")).alias("v")).filter("v IS NOT NULL")
+        r"'(?<![A-Za-z0-9+/=_-])[A-Za-z][A-Za-z_-]{3,}(?![A-Za-z0-9+/=_-])', 0)")).alias("v")).filter("v IS NOT NULL")
     plain = bigrams(ordinary, "v")
     if not plain:
         return [0.0] * len(ALPHABET) ** 2
