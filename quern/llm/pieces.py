@@ -28,13 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from quern.llm.common import pieces_of, text_column
+from quern.llm.common import binaries, pieces_of, text_column
 
 #: the public vocabulary used where none is named
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: bytes of text that are matched at once, stretches that a worker remembers, and ids that it remembers for each
-BATCH_BYTES, REMEMBERED, SHORT = 3 << 20, 300_000, 16
+BATCH_BYTES, REMEMBERED, SHORT = 4 << 20, 300_000, 16
 #: rows of ids that are decoded at once hold about so many ids
 BATCH_IDS = 1 << 20
 START, NONE = -2, -1
@@ -314,43 +314,59 @@ def encode(text: Column, vocabulary: Vocabulary) -> Column:
     return of_batches(text)
 
 
-def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """Text of a list of ids, without the space that encoding puts before it; bytes that are no text become U+FFFD."""
-    shown, ends = vocabulary.shown, vocabulary.shown_ends
+class Decoder:
+    """Bytes of every id, and texts made of them."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.shown, self.ends = vocabulary.shown, vocabulary.shown_ends
 
-    def texts_of(lists: pa.Array) -> Iterator[str]:
+    def texts(self, lists: pa.Array) -> Iterator[bytes]:
+        """UTF-8 of every list of ids, without the space that encoding puts before a text."""
         flat = lists.flatten().to_numpy(zero_copy_only=False)
-        if len(flat) and (flat.min() < 0 or flat.max() >= len(ends) - 1):
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.ends) - 1):
             raise ValueError("an id is outside the vocabulary")
-        n = ends[flat + 1] - ends[flat]
+        n = self.ends[flat + 1] - self.ends[flat]
         tops = np.cumsum(n)
-        place = np.arange(n.sum()) + np.repeat(ends[flat] - tops + n, n)
-        joined = shown[place].tobytes()
+        place = np.arange(n.sum()) + np.repeat(self.ends[flat] - tops + n, n)
+        joined = self.shown[place].tobytes()
         cuts = np.concatenate(([0], tops))[np.cumsum([0, *pc.list_value_length(lists).to_pylist()])].tolist()
         for a, b in zip(cuts, cuts[1:]):
-            text = joined[a:b].decode("utf-8", "replace")
-            yield text[1:] if text.startswith(" ") else text
+            yield joined[a + 1:b] if joined[a:a + 1] == b" " and b > a else joined[a:b]
+
+
+def decode(ids: Column, vocabulary: Vocabulary) -> Column:
+    """Text of a list of ids; bytes that are no text become U+FFFD."""
+    decoder = Decoder(vocabulary)
 
     @arrow_udf("string")
     def of_batch(lists: pa.Array) -> pa.Array:
         lists = pc.fill_null(lists, [])
         group = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)) // BATCH_IDS
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lists)]
-        return pa.array([t for a, b in zip(cuts, cuts[1:]) for t in texts_of(lists.slice(a, b - a))], pa.string())
+        return pa.array([t.decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:]) for t in decoder.texts(lists.slice(a, b - a))], pa.string())
 
     return of_batch(ids)
 
 
 def tokenize(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded, round_trip), one row per row of ``docs``.
+    """(doc_id, n_tokens, ids, round_trip), one row per row of ``docs``.
 
-    ``decoded`` is the text made from the ids again and round_trip tells whether it equals the text: always,
-    but for texts with U+2581, which the model itself cannot tell from a space.  Null texts are
-    taken as empty; empty texts have no ids; null ids and repeated rows stay; texts are read whole; other columns
-    play no part.
+    round_trip tells whether the text made from the ids again equals the text: always, but for texts with
+    U+2581, which the model itself cannot tell from a space.  Null texts are taken as empty; empty texts have no ids;
+    null ids and repeated rows stay; texts are read whole; other columns play no part; an empty table gives no rows.
     """
     vocabulary = Vocabulary(model)
-    rows = docs.select(docs["doc_id"], text_column(docs).alias("text"))
-    rows = rows.withColumn("ids", encode(F.col("text"), vocabulary)).withColumn("decoded", decode(F.col("ids"), vocabulary))
-    return rows.select("doc_id", F.size("ids").alias("n_tokens"), "ids", "decoded",
-                       (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+    @arrow_udf("struct<ids: array<int>, round_trip: boolean>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+        for batch in batches:
+            parts = []
+            for part in pieces_of(batch, BATCH_BYTES):
+                ids = encoder.encode(part)
+                same = [a == b for a, b in zip(decoder.texts(ids), binaries(part))]
+                parts.append(pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "round_trip"]))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())]))
+
+    rows = docs.select(docs["doc_id"], both(text_column(docs)).alias("x"))
+    return rows.select("doc_id", F.size("x.ids").alias("n_tokens"), "x.ids", "x.round_trip")

@@ -320,7 +320,7 @@ def test_memory_of_stretches_is_bounded(vocabulary, monkeypatch):
 
 
 def test_round_trip(hard, empty):
-    rows = pieces.tokenize(hard).collect()
+    rows = pieces.tokenize(hard).withColumn("decoded", pieces.decode(F.col("ids"), pieces.Vocabulary())).collect()
     assert sorted(((r["doc_id"], r["decoded"]) for r in rows), key=str) == sorted(texts_of(hard), key=str)
     assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in rows)
     assert pieces.tokenize(empty).count() == 0
@@ -337,7 +337,8 @@ def test_pipeline(spark, tmp_path):
     table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    found = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    out = corpus_pipeline.run(spark, str(tmp_path)).withColumn("decoded", pieces.decode(F.col("ids"), pieces.Vocabulary()))
+    found = {r["doc_id"]: r for r in out.collect()}
     assert set(found) == {i for i in range(100) if i % 5} | {301, 302}
     assert found[301]["decoded"].startswith("[SECRET] ") and found[1]["decoded"] == rows[1][1]
     assert all(r["round_trip"] for r in found.values())
