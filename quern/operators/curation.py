@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quern.operators.ordered import Ordered, running
+from quern.operators.ordered import Ordered, position, running
 from quern.operators.similarity import CONSISTENT, NEAR, greedy_dedup, pair_cosine, unit_vectors
 
 # Share of each complexity tier.
@@ -18,6 +18,14 @@ TIER_SHARES = {"simple": 0.20, "join": 0.25, "aggregate": 0.25, "window": 0.12,
 RUBRIC = {"logical_correctness": 0.30, "nl_naturalness": 0.20, "sql_style": 0.20, "schema_grounding": 0.20, "specificity": 0.10}
 PASS_MARK = 0.72
 
+# Why a pair was rejected, by stage; {score} has two places, texts are cut to 80 characters.
+REASONS = {
+    "EXEC": "EXEC_FAIL: not a read-only query",
+    "CONSISTENCY": "CONSISTENCY_FAIL: score={score} (need ≥0.45)\n  Original: {question}\n  BackT:    {back_question}",
+    "DEDUP": "DEDUP: near-duplicate of accepted question",
+    "QUALITY": "QUALITY_FAIL: score={score} < 0.72",
+}
+
 # Question templates of each tier.
 TEMPLATES = {
     "simple": [
@@ -169,14 +177,14 @@ def audit(pairs: DataFrame, key: str) -> DataFrame:
 
 
 def rejection_reason() -> Column:
-    """The stage in words, with the number that failed to two places."""
+    """The stage in words, with the number that failed to two places and the texts it is about."""
     stage = F.col("stage")
-    number = lambda c: F.format_number(c, 2)  # noqa: E731  # rounds the binary value, unlike format_string
-    return (
-        F.when(stage == "EXEC", "EXEC_FAIL: not a read-only query")
-        .when(stage == "CONSISTENCY", F.concat(F.lit("CONSISTENCY_FAIL: score="), number("cosine")))
-        .when(stage == "DEDUP", "DEDUP: near-duplicate of accepted question")
-        .when(stage == "QUALITY", F.concat(F.lit("QUALITY_FAIL: score="), number("score"))))
+    score = F.when(stage == "CONSISTENCY", F.col("cosine")).otherwise(F.col("score"))
+    text = reduce(lambda rest, s: F.when(stage == s, REASONS[s]).otherwise(rest), REASONS, F.lit(None).cast("string"))
+    text = F.replace(text, F.lit("{score}"), F.format_number(score, 2))  # rounds the binary value, unlike format_string
+    for name in ("question", "back_question"):
+        text = F.replace(text, F.lit("{" + name + "}"), F.substring(name, 1, 80))
+    return text
 
 
 def funnel(audited: DataFrame) -> DataFrame:
@@ -193,15 +201,12 @@ def funnel(audited: DataFrame) -> DataFrame:
         share("dedup_pass", "backt_pass").alias("dedup_pct"), share("accepted", "generated").alias("yield_pct"))
 
 
-def transcripts(turns: DataFrame, keys: list[str], order: str, line: Column, most: int = 1_000_000) -> DataFrame:
-    """Turns joined in order, one row per conversation: (keys, chunk, transcript).
+def transcripts(turns: DataFrame, keys: list[str], order: str, line: Column) -> DataFrame:
+    """The lines of every transcript in order: (keys, place, start, line).
 
-    A conversation longer than ``most`` characters continues in further chunks, so
-    no task has to build a text without bound; the chunks in order are the whole.
+    ``place`` counts from 0; ``start`` is where the line begins in the text that the lines
+    make, joined by newlines.  A conversation of any length has this one shape.
     """
-    o = Ordered(turns.select(*keys, order, line.alias("_line")), keys, [order]).scan(
-        _before=running("sum", F.length("_line").cast("bigint"), before=True))
-    chunk = F.floor(F.coalesce("_before", F.lit(0)) / most)
-    return o.rows().groupBy(*keys, chunk.alias("chunk")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "_line"))), lambda x: x["_line"]), "\n").alias(
-            "transcript"))
+    o = Ordered(turns.select(*keys, order, line.alias("line")), keys, [order]).scan(
+        place=position(), start=running("sum", F.length("line").cast("bigint") + 1, before=True))
+    return o.rows().select(*keys, (F.col("place") - 1).alias("place"), F.coalesce("start", F.lit(0)).alias("start"), "line")

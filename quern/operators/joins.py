@@ -38,7 +38,7 @@ def lookup(
     ``on`` pairs fact columns with dimension columns; their names must differ.
     A small dimension is broadcast after its rows and bytes were checked.  A large one is
     shuffled, except for the keys that are hot in the fact table: their rows meet a
-    broadcast of just those dimension rows, at most ``quern.block.max`` of them.
+    broadcast of just those dimension rows, at most rows / ``quern.block.rows`` of them.
     ``dim_rows`` is the row count of a dimension of a few numbers per row, where the
     caller has it already.
     """

@@ -54,18 +54,25 @@ def product(a: DataFrame, b: DataFrame, block: int = BLOCK) -> DataFrame:
     def multiply(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         bi, bk, bj = key
         if x.empty or y.empty:
-            return pd.DataFrame({"i": [], "j": [], "v": []})
-        dense_x, dense_y = np.zeros((block, block)), np.zeros((block, block))
-        dense_x[x.row - bi * block, x.a_k - bk * block] = x.a_v
-        dense_y[y.b_k - bk * block, y.col - bj * block] = y.b_v
+            return pd.DataFrame({"i": [], "j": [], "v": [], "odd": []})
+        # entries with equal coordinates add up; a cell exists wherever two entries meet, whatever their values
+        sides = []
+        for i, j, v in ((x.row - bi * block, x.a_k - bk * block, x.a_v), (y.b_k - bk * block, y.col - bj * block, y.b_v)):
+            dense, there, odd = (np.zeros((block, block)) for _ in range(3))
+            v = v.to_numpy(dtype=float)
+            np.add.at(dense, (i, j), np.where(np.isfinite(v), v, 0.0))
+            there[i, j] = 1.0
+            odd[i, j] = np.maximum(odd[i, j], ~np.isfinite(v))
+            sides.append((dense, there, odd))
+        (dense_x, there_x, odd_x), (dense_y, there_y, odd_y) = sides
         out = dense_x @ dense_y
-        reached = (np.abs(dense_x) > 0).astype(float) @ (np.abs(dense_y) > 0).astype(float) > 0
-        i, j = np.nonzero(reached)
-        return pd.DataFrame({"i": i + bi * block, "j": j + bj * block, "v": out[i, j]})
+        odd = odd_x @ there_y + there_x @ odd_y > 0  # NaN only where such an entry takes part
+        i, j = np.nonzero(there_x @ there_y > 0)
+        return pd.DataFrame({"i": i + bi * block, "j": j + bj * block, "v": out[i, j], "odd": odd[i, j]})
 
     keys = ["bi", "bk", "bj"]
-    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(multiply, "i bigint, j bigint, v double")
-    return parts.groupBy("i", "j").agg(F.sum("v").alias("v"))
+    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(multiply, "i bigint, j bigint, v double, odd boolean")
+    return parts.groupBy("i", "j").agg(F.when(F.bool_or("odd"), F.lit(float("nan"))).otherwise(F.sum("v")).alias("v"))
 
 
 def row_means(m: DataFrame) -> DataFrame:
@@ -77,26 +84,31 @@ def column_means(m: DataFrame) -> DataFrame:
 
 
 def diagonal(vector: DataFrame) -> DataFrame:
-    """Dense diagonal matrix of (i, v): every place (i, j), zero off the diagonal."""
-    low, high = vector.agg(F.min("i"), F.max("i")).first()
-    return vector.select("i", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("j"), "v").select(
-        "i", "j", F.when(F.col("i") == F.col("j"), F.col("v")).otherwise(0.0).alias("v"))
+    """Diagonal matrix of (i, v) in coordinates: all other cells are zero and have no row."""
+    return vector.select("i", F.col("i").alias("j"), "v")
 
 
 def covariance(df: DataFrame, vector: str) -> DataFrame:
     """Sample covariance of the vector's components.
 
-    Every Arrow batch is reduced to its component sums and products, so the
-    shuffle carries one small matrix per batch and not the vectors.
+    Every partition is reduced to its component sums and products, so the
+    shuffle carries one small matrix per partition and not the vectors.  All values are shifted by
+    one of the vectors, so that large means do not eat the digits of small deviations.
     """
+    origin = df.select(vector).filter(F.col(vector).isNotNull()).first()
+    shift = np.asarray(origin[0], dtype=float) if origin else np.zeros(0)
 
     def reduce_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, products, sums = 0.0, 0.0, 0.0
         for batch in batches:
-            x = np.stack(batch[vector].to_numpy()).astype(float)
-            d = x.shape[1]
+            if batch.empty:
+                continue
+            x = np.stack(batch[vector].to_numpy()).astype(float) - shift
+            n, products, sums = n + len(x), products + x.T @ x, sums + x.sum(axis=0)
+        if n:
+            d = len(sums)
             i, j = np.divmod(np.arange(d * d), d)
-            s = x.sum(axis=0)
-            yield pd.DataFrame({"i": i, "j": j, "n": float(len(x)), "p": (x.T @ x).ravel(), "a": s[i], "b": s[j]})
+            yield pd.DataFrame({"i": i, "j": j, "n": n, "p": products.ravel(), "a": sums[i], "b": sums[j]})
 
     parts = df.select(vector).mapInPandas(reduce_batch, "i bigint, j bigint, n double, p double, a double, b double")
     n = F.sum("n")

@@ -2,9 +2,9 @@
 
 A plain window puts all rows of a key into one task.  Here a key with more rows
 than a task should hold is cut, along the order, into blocks.  Every scan runs
-inside the blocks, and the few block summaries (at most twice ``quern.block.max``
-rows in total, whatever the data size) give each block what came before it.
-Without such a key the plan is the plain window and nothing else.
+inside the blocks, and the block summaries (a row per block, broadcast if they are few) give
+each block what came before it.  Without such a key the plan is the plain window
+and nothing else.
 """
 
 from __future__ import annotations
@@ -26,17 +26,13 @@ _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, int]:
     """Keys holding more rows than one task should, and that row limit.
 
-    At most ``quern.block.max`` keys can qualify, since the limit is never below
-    total / block.max; that is the size bound of the returned table.
+    The limit does not depend on the data, so at most total / limit keys can
+    qualify: half a million of 10^12 rows.
     """
     spark = df.sparkSession
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    total = total or 0
-    cap = max(
-        settings.limit(spark, settings.BLOCK_ROWS),
-        -(-total // settings.limit(spark, settings.BLOCK_MAX)),
-    )
+    largest = counts.agg(F.max("_n")).first()[0]
+    cap = settings.limit(spark, settings.BLOCK_ROWS)
     if (largest or 0) <= cap:
         return None, cap
     rows = counts.filter(F.col("_n") > cap).select(*keys).collect()
@@ -109,7 +105,7 @@ class Ordered:
         cuts = ranked.filter(F.col("_r") % SAMPLES_PER_BLOCK == 0).groupBy(*names).agg(
             F.sort_array(F.collect_list("_at")).alias("_cuts")
         )
-        rows = cuts.collect()  # about total / cap places, at most quern.block.max
+        rows = cuts.collect()  # about total / cap places
         table = spark.createDataFrame(rows, cuts.schema)
         longest = max((len(r["_cuts"]) for r in rows), default=0)
         steps, step = [], 1
@@ -181,11 +177,12 @@ class Ordered:
                 column = _AGG[s.how](f"_s_{name}").over(along.rowsBetween(W.unboundedPreceding, -1))
             carried.append(column.alias(f"_c_{name}"))
         found = blocks.select(*names, "_b", *carried)
-        # at most 2 * quern.block.max rows: fetched once, so that a chain of scans
-        # reads its input once per scan instead of twice per scan
-        carry = df.sparkSession.createDataFrame(found.collect(), found.schema)
+        # a few rows per block, written once, so that a chain of scans reads its input once per scan
+        settings.ensure_checkpoint_dir(df.sparkSession)
+        carry = found.checkpoint()
         keys = [F.col(k) for k in self.keys] + [F.col(BLOCK)]
-        df = df.join(F.broadcast(carry), null_safe(keys, [F.col(n) for n in names + ["_b"]]), "left")
+        small = carry.count() <= settings.limit(df.sparkSession, settings.BROADCAST_ROWS)
+        df = df.join(F.broadcast(carry) if small else carry, null_safe(keys, [F.col(n) for n in names + ["_b"]]), "left")
         for name, s in scans.items():
             mine, past = F.col(name), F.col(f"_c_{name}")
             if s.kind == "total":
@@ -213,13 +210,14 @@ def runs(ordered: Ordered, item: str) -> Ordered:
 
 
 def ranked(df: DataFrame, keys: list[str], value: str, tie: str) -> Ordered:
-    """Largest ``value`` first: columns ``row_number``, ``rank`` and ``size``."""
-    o = Ordered(df.withColumn("_neg", -F.col(value)), keys, ["_neg", tie]).scan(
+    """Largest ``value`` first, missing ones last: columns ``row_number``, ``rank`` and ``size``."""
+    df = df.withColumn("_neg", -F.col(value)).withColumn("_none", F.col(value).isNull())
+    o = Ordered(df, keys, ["_none", "_neg", tie]).scan(
         row_number=position(), _last=shift("_neg"), size=total("sum", F.lit(1).cast("bigint"))
     )
     first = F.when(~F.col("_neg").eqNullSafe(F.col("_last")) | (F.col("row_number") == 1), F.col("row_number"))
     o = o.scan(rank=running("max", first))
-    o.df = o.df.drop("_neg", "_last")
+    o.df = o.df.drop("_neg", "_last", "_none")
     return o
 
 

@@ -56,5 +56,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     for i, p in enumerate(probs):
         at = (F.col("n") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        found = found.withColumn(f"q{i}", lo + (hi - lo) * (at - F.floor(at)))
+        # the range must have held the quantile: the sketch promises it, and this sees to it
+        missed = (F.col("n") > 0) & (lo.isNull() | hi.isNull())
+        failed = F.raise_error(F.lit("a quantile lies outside of its range: lower quantiles.ACCURACY")).cast("double")
+        found = found.withColumn(f"q{i}", F.when(missed, failed).otherwise(lo + (hi - lo) * (at - F.floor(at))))
     return found.select(*keys, "n", *[f"q{i}" for i in range(len(probs))])

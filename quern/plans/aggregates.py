@@ -1,5 +1,6 @@
 """Aggregation, sorting and set queries."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern.functions import expressions as X
@@ -40,16 +41,15 @@ SELECT p_brand, total, max(total) OVER () AS largest
 FROM (SELECT p_brand, round(sum(p_retailprice), 2) AS total FROM part GROUP BY 1)""")
 def sum_and_overall_max(t):
     sums = t.part.groupBy("p_brand").agg(F.round(F.sum("p_retailprice"), 2).alias("total"))
-    largest = sums.agg(F.max("total")).first()[0]
-    return sums.withColumn("largest", F.lit(largest).cast("double"))
+    return sums.withColumn("largest", F.max("total").over(W.partitionBy(F.lit(1))))  # a row per brand
 
 
 @query("e04_share_of_total", """
 SELECT event_type, round(sum(value) / sum(sum(value)) OVER (), 8) AS share FROM events GROUP BY 1""")
 def share_of_total(t):
     sums = t.events.groupBy("event_type").agg(F.sum("value").alias("v"))
-    everything = t.events.agg(F.sum("value")).first()[0]
-    return sums.select("event_type", F.round(F.col("v") / F.lit(everything).cast("double"), 8).alias("share"))
+    everything = F.sum("v").over(W.partitionBy(F.lit(1)))  # over a row per type
+    return sums.select("event_type", F.round(F.col("v") / everything, 8).alias("share"))
 
 
 @query("e05_two_level_totals", """

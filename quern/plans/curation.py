@@ -32,11 +32,11 @@ _SQLS = [
     "UPDATE orders SET status = 1",
 ]
 _TIERS = list(curation.TIER_SHARES)
-_PAIRS = f"""pairs AS (SELECT u.conv_id * 1000 + u.turn AS id, u.conv_id, u.text AS question, a.text AS back_question
+_PAIRS = f"""pairs AS (SELECT u.conv_id * 4294967296 + u.turn AS id, u.conv_id, u.turn, u.text AS question, a.text AS back_question
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 _LISTED = "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in _SQLS) + "]"
-_SQL_TEXT = f"{_LISTED}[(id * 7 + conv_id) % 11 % {len(_SQLS)} + 1]"
+_SQL_TEXT = f"{_LISTED}[(turn * 7 + conv_id) % 11 % {len(_SQLS)} + 1]"
 _COSINE = f"""cosine AS (WITH x AS {_words('pairs', 'id', 'question')}, y AS {_words('pairs', 'id', 'back_question')},
   nx AS (SELECT id, sqrt(sum(tf * tf)) AS n FROM x GROUP BY 1), ny AS (SELECT id, sqrt(sum(tf * tf)) AS n FROM y GROUP BY 1),
   d AS (SELECT id, sum(x.tf * y.tf) AS d FROM x JOIN y USING (id, w) GROUP BY 1)
@@ -46,9 +46,11 @@ _COSINE = f"""cosine AS (WITH x AS {_words('pairs', 'id', 'question')}, y AS {_w
 def conversation_pairs(t):
     """Both sides of the join are unique in (conversation, turn)."""
     user = t.conversations.filter("role = 'user'").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("question"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"))
+        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("question"),
+        (F.col("conv_id").cast("bigint") * (1 << 32) + F.col("turn")).alias("id"))  # unique for any number of turns below 2^32
     answer = t.conversations.filter("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("back_question"))
-    return user.join(answer, ["conv_id", "turn"]).select("id", "conv_id", "question", "back_question")
+    return user.join(answer, ["conv_id", "turn"]).select(
+        "id", "conv_id", (F.col("turn") - 1).alias("turn"), "question", "back_question")
 
 
 @query("m02_pair_cosine", f"WITH {_PAIRS}, {_COSINE} SELECT id, round(cosine, 8) AS cosine FROM cosine")
@@ -151,14 +153,18 @@ def sample_remaining(t):
         curation.tier_targets(t.documents.count() // 2), "draw").select("doc_id", "tier")
 
 
+def sql_text():
+    place = (F.col("turn") * 7 + F.col("conv_id")) % 11 % len(_SQLS)
+    return F.get(F.array(*[F.lit(s) for s in _SQLS]), place.cast("int"))
+
+
 def candidate_pairs(t):
-    sql = F.get(F.array(*[F.lit(s) for s in _SQLS]), ((F.col("id") * 7 + F.col("conv_id")) % 11 % len(_SQLS)).cast("int"))
     scores = scored_documents(t).select("doc_id", "score")
     return conversation_pairs(t).join(scores, F.col("conv_id") == F.col("doc_id"), "left").select(
-        "id", "question", "back_question", sql.alias("sql"), F.coalesce("score", F.lit(0.0)).alias("score"))
+        "id", "question", "back_question", sql_text().alias("sql"), F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
-_AUDIT = f"""{_PAIRS}, {_COSINE}, {_SCORED}, gated AS (SELECT id, question, {_SQL_TEXT} AS sql, cosine, coalesce(score, 0.0) AS score
+_AUDIT = f"""{_PAIRS}, {_COSINE}, {_SCORED}, gated AS (SELECT id, question, back_question, {_SQL_TEXT} AS sql, cosine, coalesce(score, 0.0) AS score
   FROM pairs JOIN cosine USING (id) LEFT JOIN scored ON doc_id = conv_id),
  staged AS (SELECT *, CASE WHEN NOT regexp_matches(sql, '^\\s*(select|with)\\b', 'i') OR regexp_matches(sql, '\\b(drop|delete|insert)\\b', 'i')
    THEN 'EXEC' WHEN cosine < 0.45 THEN 'CONSISTENCY' END AS stage FROM gated),
@@ -167,9 +173,18 @@ _AUDIT = f"""{_PAIRS}, {_COSINE}, {_SCORED}, gated AS (SELECT id, question, {_SQ
    WHEN score < 0.72 THEN 'QUALITY' END, 'ACCEPTED') AS stage FROM staged LEFT JOIN walk ON walk.k = id)"""
 
 
-@query("m09_audit_trail", f"WITH RECURSIVE {_AUDIT} SELECT id, stage, cosine, score FROM audited")
+REASON_SQL = """CASE stage WHEN 'EXEC' THEN 'EXEC_FAIL: not a read-only query'
+  WHEN 'CONSISTENCY' THEN 'CONSISTENCY_FAIL: score=' || printf('%.2f', audited.cosine) || ' (need ≥0.45)' || chr(10) || '  Original: '
+    || substr(question, 1, 80) || chr(10) || '  BackT:    ' || substr(back_question, 1, 80)
+  WHEN 'DEDUP' THEN 'DEDUP: near-duplicate of accepted question'
+  WHEN 'QUALITY' THEN 'QUALITY_FAIL: score=' || printf('%.2f', audited.score) || ' < 0.72' END AS rejection_reason"""
+
+
+@query("m09_audit_trail", f"""WITH RECURSIVE {_AUDIT} SELECT id, stage, audited.cosine, audited.score, {REASON_SQL}
+FROM audited JOIN gated USING (id)""")
 def audit_trail(t):
-    return curation.audit(candidate_pairs(t), "id").select("id", "stage", F.round("cosine", 6).alias("cosine"), "score")
+    return curation.audit(candidate_pairs(t), "id").withColumn("rejection_reason", curation.rejection_reason()).select(
+        "id", "stage", F.round("cosine", 6).alias("cosine"), "score", "rejection_reason")
 
 
 @query("m10_stage_funnel", f"""
@@ -186,7 +201,7 @@ def stage_funnel(t):
 WITH {_PAIRS} SELECT id, sql, regexp_matches(sql, '^\\s*(select|with)\\b', 'i') AND NOT regexp_matches(sql, '\\b(drop|delete|insert)\\b', 'i') AS ok
 FROM (SELECT id, {_SQL_TEXT} AS sql FROM pairs)""")
 def sql_gate(t):
-    return candidate_pairs(t).select("id", "sql", curation.passes_sql_gate(F.col("sql")).alias("ok"))
+    return conversation_pairs(t).select("id", sql_text().alias("sql")).withColumn("ok", curation.passes_sql_gate(F.col("sql")))
 
 
 _COLUMNS = ["ORDER_ID", "ORDER_DATE", "QUANTITY", "LTV", "PRICE", "NET_REVENUE", "EVENT_TYPE"]
@@ -214,8 +229,8 @@ def template_fill(t):
 
 
 @query("m13_transcripts", """
-SELECT conv_id, CAST(0 AS BIGINT) AS chunk, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript
-FROM conversations GROUP BY 1""")
+SELECT conv_id, row_number() OVER w - 1 AS place, CAST(coalesce(sum(length(line) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  AS BIGINT) AS start, line FROM (SELECT conv_id, turn, role || ': ' || text AS line FROM conversations) WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def transcripts(t):
     line = F.concat("role", F.lit(": "), "text")
     return curation.transcripts(t.conversations, ["conv_id"], "turn", line)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quern import settings
 from quern.operators import curation
-from quern.plans.curation import _AUDIT, candidate_pairs
+from quern.plans.curation import _AUDIT, REASON_SQL, candidate_pairs
 from quern.plans.registry import query
 from quern.sources import files
 
@@ -28,7 +28,8 @@ def csv_inferred(t):
 
 _SALES = """
 SELECT DISTINCT p.p_partkey, p.p_name FROM part p JOIN lineitem s ON p.p_partkey = s.l_partkey
-WHERE s.l_quantity = 50 AND p.p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_discount = 0.1 AND l_quantity > 40)"""
+WHERE s.l_quantity = 50 AND NOT EXISTS (SELECT 1 FROM lineitem x WHERE x.l_partkey = p.p_partkey AND x.l_discount = 0.1
+  AND x.l_quantity > 40)"""
 
 
 @query("a03_sql_over_tables", _SALES)
@@ -59,9 +60,7 @@ def json_accepted(t):
 
 
 @query("a06_json_rejected", f"""
-WITH RECURSIVE {_AUDIT} SELECT id, question, sql, stage, CASE stage WHEN 'EXEC' THEN 'EXEC_FAIL: not a read-only query'
-  WHEN 'CONSISTENCY' THEN 'CONSISTENCY_FAIL: score=' || printf('%.2f', audited.cosine)
-  WHEN 'DEDUP' THEN 'DEDUP: near-duplicate of accepted question' ELSE 'QUALITY_FAIL: score=' || printf('%.2f', audited.score) END AS rejection_reason
+WITH RECURSIVE {_AUDIT} SELECT id, question, sql, stage, {REASON_SQL}
 FROM audited JOIN gated USING (id) WHERE stage <> 'ACCEPTED'""")
 def json_rejected(t):
     path = settings.scratch(t.spark, "rejected")

@@ -202,12 +202,13 @@ _DAILY = f"""{GEO_SQL}, d AS (SELECT r_name, CAST(o_orderdate AS DATE) AS dt, co
 
 
 @query("l17_rolling_orders_by_region", f"""
-WITH {_DAILY}, s AS (SELECT r_name, CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE)
-  AS dt FROM region)
+WITH {_DAILY}, b AS (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS z FROM orders),
+ s AS (SELECT r_name, CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS dt FROM region, b)
 SELECT r_name, strftime(dt, '%Y-%m-%d') AS dt, round(avg(coalesce(n, 0)) OVER (PARTITION BY r_name ORDER BY dt
   ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS average FROM s LEFT JOIN d USING (r_name, dt)""")
 def rolling_orders_by_region(t):
-    days = F.sequence(F.lit("1995-01-01").cast("date"), F.lit("2001-08-01").cast("date"))
+    first, last = t.orders.agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
     spine = t.region.select("r_name", F.explode(days).alias("dt"))
     w = W.partitionBy("r_name").orderBy("dt").rowsBetween(-6, 0)
     return daily_counts(orders_per_day(t), ["r_name"], spine).select(
@@ -248,8 +249,8 @@ def top_quarter_in_segment(t):
 @query("l21_above_average_spend", f"WITH {LTV_SQL} SELECT o_custkey, ltv FROM ltv WHERE ltv > (SELECT avg(ltv) FROM ltv)")
 def above_average_spend(t):
     spend = lifetime_value(t)
-    mean = spend.agg(F.avg("ltv")).first()[0]
-    return spend.filter(F.col("ltv") > F.lit(mean))
+    mean = spend.agg(F.avg("ltv").alias("_mean"))
+    return spend.join(F.broadcast(mean), F.col("ltv") > F.col("_mean")).drop("_mean")  # one row
 
 
 @query("l22_never_ordered_by_enterprise", """

@@ -12,8 +12,6 @@ from pyspark.sql import SparkSession
 
 #: rows of one key that a single task may hold before the key is cut into blocks
 BLOCK_ROWS = ("quern.block.rows", 2_000_000)
-#: upper bound on the number of blocks, hence on every broadcast carry table
-BLOCK_MAX = ("quern.block.max", 4096)
 #: rows and bytes of a dimension that may be broadcast
 BROADCAST_ROWS = ("quern.broadcast.rows", 500_000)
 BROADCAST_BYTES = ("quern.broadcast.bytes", 128 * 1024 * 1024)

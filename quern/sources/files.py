@@ -7,20 +7,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# Texts that stand for a missing value in a CSV file.
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+]
+#: types that inference tries, narrowest first; what fits none is a string
+KINDS = ("bigint", "double", "boolean")
+
+
+def missing_as_null(df: DataFrame) -> DataFrame:
+    """NaN becomes NULL in every float column, so that it counts as missing everywhere."""
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats})
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """CSV with a header, known types and a given encoding: one pass, no inference."""
-    return spark.read.option("header", True).option("encoding", encoding).schema(schema).csv(path)
+    """CSV with a header, known types and a given encoding: one pass, no inference.
+
+    NaN and, in columns that are not text, all marks of missing values are NULL.
+    """
+    return missing_as_null(spark.read.option("header", True).option("encoding", encoding).schema(schema).csv(path))
 
 
 def read_csv_inferred(spark: SparkSession, path: str, overrides: dict[str, str] | None = None) -> DataFrame:
     """CSV with inferred types; a nameless leading column becomes ``index``.
 
-    Inference reads a tenth of the rows; ``overrides`` fixes the type of columns.
+    One pass over all rows finds the narrowest type that every value fits; marks of missing values are
+    NULL and fit every type, and a column of nothing else is double.  ``overrides`` fixes the type of columns.
     """
-    df = spark.read.option("header", True).option("inferSchema", True).option("samplingRatio", 0.1).csv(path)
-    if df.columns[0] in ("_c0", "Unnamed: 0"):
-        df = df.withColumnRenamed(df.columns[0], "index")
-    return df.withColumns({c: F.col(c).cast(kind) for c, kind in (overrides or {}).items()})
+    text = spark.read.option("header", True).csv(path)
+    if text.columns[0] in ("_c0", "Unnamed: 0"):
+        text = text.withColumnRenamed(text.columns[0], "index")
+    col = lambda c: F.col(f"`{c}`")
+    text = text.withColumns({c: F.when(~F.trim(col(c)).isin(MISSING), col(c)) for c in text.columns})
+    asked = [c for c in text.columns if c not in (overrides or {})]
+    kinds = dict(overrides or {})
+    if asked:
+        misfits = [F.count_if(col(c).isNotNull() & F.trim(col(c)).try_cast(k).isNull()).alias(f"{i}_{k}")
+                   for i, c in enumerate(asked) for k in KINDS]
+        held = [F.count(col(c)).alias(f"{i}_n") for i, c in enumerate(asked)]
+        found = text.agg(*misfits, *held).first()
+        for i, c in enumerate(asked):
+            fits = [k for k in KINDS if found[f"{i}_{k}"] == 0]
+            kinds[c] = (fits[0] if found[f"{i}_n"] else "double") if fits else "string"
+    return missing_as_null(text.withColumns({c: F.trim(col(c)).cast(k) if k != "string" else col(c) for c, k in kinds.items()}))
 
 
 def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame]) -> DataFrame:

@@ -13,23 +13,26 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from quern import settings
 
 HOUR = 3_600_000_000
+#: files of a backlog that one micro-batch takes
+FILES = 256
 
 
 def stream_parquet(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """A file stream over the Parquet files of one table."""
-    schema = spark.read.parquet(f"{directory}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet").parquet(directory)
+    """A file stream over the Parquet files of one table, a single file or a folder of them."""
+    path = f"{directory}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def trailing_counts(events: DataFrame, key: str, time: str, tie: str, window: int = 3_000_000, bucket: int = 6 * HOUR,
-                    late: str = "10 minutes", shards: int = 256) -> DataFrame:
+                    late: str = "10 minutes") -> DataFrame:
     """(key, tie, n): for each event as it arrives, the key's events in the closed window before it.
 
-    ``time`` is a timestamp; ``window`` and ``bucket`` are microseconds.  Events are
-    spread over shards by key and stretch of time, so a busy key moves through all
-    shards; an event near the end of a stretch is also shown to the next one.  A
-    shard's state holds the trailing window of its keys and nothing older.  Events
-    later than the watermark are dropped.
+    ``time`` is a timestamp; ``window`` and ``bucket`` are microseconds.  There is one
+    state per key and stretch of time, so a busy key moves through all tasks; an event near
+    the end of a stretch is also shown to the next one.  A state holds what a late event may still
+    have to count: everything from the watermark less the window on.  It goes when the watermark has
+    passed its stretch.  Events later than the watermark are dropped.
     """
     at = F.unix_micros(time)
     own = F.floor(at / bucket)
@@ -37,31 +40,29 @@ def trailing_counts(events: DataFrame, key: str, time: str, tie: str, window: in
     spread = F.array_compact(F.array(own, F.when(near_end, own + 1)))
     rows = events.withWatermark(time, late).select(
         F.col(key).cast("bigint").alias("k"), F.col(time).alias("ts"), at.alias("at"), F.col(tie).cast("bigint").alias("id"),
-        own.alias("own"), F.explode(spread).alias("part")).withColumn(
-        "shard", F.pmod(F.xxhash64("k", "part"), F.lit(shards)).cast("int"))
-    wide = bucket + 2 * window + 1
-    names = ["k", "part", "at", "id"]
+        own.alias("own"), F.explode(spread).alias("part"))
 
-    def count(_shard: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def count(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        old = state.get if state.exists else ([], [])
         new = pd.concat(list(batches))
-        old = state.get if state.exists else ([], [], [], [])
-        k, part, a, i = (np.concatenate([np.asarray(o, dtype=np.int64), new[n].to_numpy(dtype=np.int64)])
-                         for n, o in zip(names, old))
+        a, i = (np.concatenate([np.asarray(o, dtype=np.int64), new[n].to_numpy(dtype=np.int64)])
+                for n, o in zip(("at", "id"), old))
         fresh = np.concatenate([np.zeros(len(old[0]), bool), (new["own"] == new["part"]).to_numpy()])
-        order = np.lexsort((i, a, part, k))
-        k, part, a, i, fresh = k[order], part[order], a[order], i[order], fresh[order]
-        starts = np.concatenate([[True], (k[1:] != k[:-1]) | (part[1:] != part[:-1])])
-        group = np.cumsum(starts) - 1
-        place = group * wide + (a - part * bucket) + window  # grows through all groups
-        n = np.arange(1, len(a) + 1) - np.searchsorted(place, place - window, side="left")
-        newest = a[np.concatenate([np.flatnonzero(starts)[1:] - 1, [len(a) - 1]])][group]
-        live = (a >= newest - window) & (a >= state.getCurrentWatermarkMs() * 1000 - window)
-        state.update(tuple(x[live].tolist() for x in (k, part, a, i)))
-        yield pd.DataFrame({"k": k[fresh], "id": i[fresh], "n": n[fresh]})
-
-    out = rows.groupBy("shard").applyInPandasWithState(
-        count, "k bigint, id bigint, n bigint", ", ".join(f"{n} array<bigint>" for n in names), "append",
-        GroupStateTimeout.NoTimeout)
+        order = np.lexsort((i, a))
+        a, i, fresh = a[order], i[order], fresh[order]
+        n = np.arange(1, len(a) + 1) - np.searchsorted(a, a - window, side="left")
+        mark = state.getCurrentWatermarkMs()
+        live = a >= mark * 1000 - window
+        state.update((a[live].tolist(), i[live].tolist()))
+        state.setTimeoutTimestamp(max((int(group[1]) + 1) * bucket // 1000, mark) + window // 1000 + 1)
+        yield pd.DataFrame({"k": int(group[0]), "id": i[fresh], "n": n[fresh]})
+
+    out = rows.groupBy("k", "part").applyInPandasWithState(
+        count, "k bigint, id bigint, n bigint", "at array<bigint>, id array<bigint>", "append",
+        GroupStateTimeout.EventTimeTimeout)
     return out.select(F.col("k").alias(key), F.col("id").alias(tie), "n")
 
 
@@ -82,17 +83,18 @@ def running_top(stream: DataFrame, order: list, columns: list[str], n: int, name
     """
     spark = stream.sparkSession
     path = settings.scratch(spark, name)
-    versions = [None]
 
     def merge(batch: DataFrame, epoch: int) -> None:
         best = batch.select(*columns).orderBy(*order).limit(n)
         if epoch > 0:
             best = best.unionByName(spark.read.schema(best.schema).parquet(f"{path}/v{epoch - 1}")).orderBy(*order).limit(n)
         best.write.mode("overwrite").parquet(f"{path}/v{epoch}")
-        versions[0] = epoch
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", path + "-state").trigger(
         availableNow=True).start().awaitTermination()
-    if versions[0] is None:
+    # the last version is the one of the last batch that the stream's own log has as done
+    done = spark.read.format("text").load(path + "-state/commits").select(
+        F.regexp_extract(F.input_file_name(), r"(\d+)$", 1).cast("long").alias("batch")).agg(F.max("batch")).first()[0]
+    if done is None:
         return spark.createDataFrame([], stream.select(*columns).schema)
-    return spark.read.parquet(f"{path}/v{versions[0]}").orderBy(*order)
+    return spark.read.parquet(f"{path}/v{done}").orderBy(*order)

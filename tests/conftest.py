@@ -30,10 +30,9 @@ def spark():
 def tiny_blocks(spark):
     """Every key with more than a handful of rows takes the split path."""
     spark.conf.set("quern.block.rows", "5")
-    spark.conf.set("quern.block.max", "1000000")
     spark.conf.set("quern.broadcast.rows", "0")
     yield
-    for name in ("quern.block.rows", "quern.block.max", "quern.broadcast.rows"):
+    for name in ("quern.block.rows", "quern.broadcast.rows"):
         spark.conf.unset(name)
 
 

@@ -175,14 +175,14 @@ def test_ridge_matches_closed_form(spark):
     assert [plain["a"], plain["b"], plain["c"], plain["intercept"]] == pytest.approx(list(exact), rel=1e-6)
 
 
-def test_transcripts_in_chunks(spark, both_ways):
+def test_transcript_lines(spark, both_ways):
     turns = spark.createDataFrame([(c, i, f"{c}-{i}" + "x" * i) for c in range(2) for i in range(30)], "c int, i int, t string")
-    whole = {r.c: r.transcript for r in curation.transcripts(turns, ["c"], "i", F.col("t")).collect()}
-    assert whole == {c: "\n".join(f"{c}-{i}" + "x" * i for i in range(30)) for c in range(2)}
-    parts = curation.transcripts(turns, ["c"], "i", F.col("t"), most=50).orderBy("c", "chunk").collect()
-    assert len(parts) > 10
+    rows = curation.transcripts(turns, ["c"], "i", F.col("t")).orderBy("c", "place").collect()
     for c in range(2):
-        assert "\n".join(r.transcript for r in parts if r.c == c) == whole[c]
+        mine = [r for r in rows if r.c == c]
+        whole = "\n".join(r.line for r in mine)
+        assert whole == "\n".join(f"{c}-{i}" + "x" * i for i in range(30))
+        assert all(whole[r.start:].startswith(r.line) and r.place == i for i, r in enumerate(mine))
 
 
 def test_streaming_matches_batch(spark):
