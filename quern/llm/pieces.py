@@ -34,7 +34,7 @@ from quern.llm.common import binaries, pieces_of, text_column
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: bytes of text that are matched at once, stretches that a worker remembers, and ids that it remembers for each
-BATCH_BYTES, REMEMBERED, SHORT = 4 << 20, 300_000, 16
+BATCH_BYTES, REMEMBERED, SHORT = 2 << 20, 300_000, 16
 #: rows of ids that are decoded at once hold about so many ids
 BATCH_IDS = 1 << 20
 START, NONE = -2, -1
@@ -176,11 +176,11 @@ class Vocabulary:
                 word = (word << np.uint64(width)) | wide[k:k + len(chars)].astype(np.uint64)
             order = order[np.argsort(word[order], kind="stable")]
         ordered = suffixes[order]
-        low = np.searchsorted(ordered, self.keys[0], "left")
-        n = np.searchsorted(ordered, self.keys[1], "right") - low
-        piece = np.repeat(self.sought, n)
-        place = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
-        return order[place], piece
+        low = np.searchsorted(ordered, self.keys[0], "left").astype(np.int32)
+        n = np.searchsorted(ordered, self.keys[1], "right").astype(np.int32) - low
+        del ordered
+        place = np.arange(n.sum(), dtype=np.int32) + np.repeat(low - np.cumsum(n, dtype=np.int32) + n, n)
+        return order.astype(np.int32)[place], np.repeat(self.sought, n)
 
     def match(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all stretches in a row, number of ids of each): at most one space character, at a stretch's beginning."""
@@ -194,12 +194,13 @@ class Vocabulary:
         first[inside] = np.repeat(begin, sizes)
         start, piece = self.edges(chars)
         lacking = np.flatnonzero(chars == 1)
-        start = np.concatenate((start, lacking)).astype(np.int32)
+        start = np.concatenate((start, lacking.astype(np.int32)))
         piece = np.concatenate((piece, np.full(len(lacking), self.unknown, np.int32)))
         end = start + np.append(self.lengths, 1).astype(np.int32)[piece]
         due = end - first[start]
         by = np.argsort(due.astype(np.uint16) if sizes.max(initial=0) < 1 << 16 else due, kind="stable")
         start, piece, end, due = start[by], piece[by], end[by], due[by]
+        del by
         ends = np.full(len(chars) + 1, NONE, np.int64)  # the piece that ends at a place
         ends[begin] = START
         came = np.zeros(len(chars) + 1, np.int64)
