@@ -106,3 +106,17 @@ def test_cosine_of_empty_texts(spark, rows):
                                "id bigint, x string, y string")
     got = {r["id"]: round(r.cosine, 6) for r in similarity.pair_cosine(df, "id", "x", "y").collect()}
     assert got[9] == 0 and got[10] == round(3 / (2 ** 0.5 * 5 ** 0.5), 6)
+
+
+def test_dot_products_of_common_and_rare_tokens(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    rows = [np.unique(rng.integers(0, 400, 40)) for _ in range(50)] + [np.zeros(0, np.int64)]
+    sides = [similarity.Side(r, [rng.random(len(x)) for x in r]) for r in (rows, rows[::-1][:30])]
+    dense = [np.zeros((s.n, 400)) for s in sides]
+    for d, s in zip(dense, sides):
+        d[s.rows, s.words] = s.values
+    for most in (1000, 50, 0):
+        monkeypatch.setattr(similarity, "DENSE", most)
+        assert np.allclose(similarity.dots(*sides), dense[0] @ dense[1].T)
