@@ -38,6 +38,7 @@ BATCH_BYTES, REMEMBERED, SHORT = 2 << 20, 300_000, 16
 #: rows of ids that are decoded at once hold about so many ids
 BATCH_IDS = 1 << 20
 START, NONE = -2, -1
+UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
 def merged(text: str, score: dict[str, float]) -> tuple[list[str], tuple[str, str] | None]:
@@ -108,9 +109,15 @@ class Vocabulary:
         self.alphabet = np.array([ord(p) for p in singles], np.uint32)
         self.longest = max(len(p) for p in self.pieces)
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
-        keys = self.windows_of(self.pieces)[:, proper]
-        alphabetical = np.argsort(keys[0])  # neighbours are searched for one after the other
-        self.keys, self.sought = keys[:, alphabetical], np.flatnonzero(proper)[alphabetical].astype(np.int32)
+        self.spelled = np.zeros((len(self.pieces), self.longest), np.uint16)
+        for i, p in enumerate(self.pieces):
+            self.spelled[i, :len(p)] = self.letters(p)
+        alphabetical = np.lexsort(self.spelled.T[::-1])  # neighbours are searched for one after the other
+        self.sought = alphabetical[proper[alphabetical]].astype(np.int32)
+        self.spelled = self.spelled[self.sought]
+        # a joint that is not marked here is none; few others are marked by chance
+        self.marked = np.zeros(1 << 20, bool)
+        self.marked[self.mark(self.joint_keys)] = True
         # characters that never follow a letter or digit inside a piece, and ASCII that is in no piece at all
         after = {b for p in score for a, b in zip(p, p[1:]) if a.isalnum()}
         apart = "".join(c for c in singles if not c.isalnum() and c != SPACE and c not in after)
@@ -119,8 +126,7 @@ class Vocabulary:
         shown = [model.id_to_piece(i).replace(SPACE, " ").encode() if i not in special else b"" for i in every]
         for value, i in self.bytes.items():
             shown[i] = bytes([value])
-        self.shown = np.frombuffer(b"".join(shown), np.uint8)
-        self.shown_ends = np.cumsum([0, *map(len, shown)])
+        self.shown = shown
 
     def stretches(self) -> re.Pattern:
         """Cuts a text into stretches that merge each by itself."""
@@ -134,13 +140,9 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
         return np.where(self.alphabet[at] == points, at + 2, 1).astype(np.uint16)
 
-    def windows_of(self, pieces: list[str]) -> np.ndarray:
-        """Pieces as fixed-length byte strings that sort like their characters, once padded low and once high."""
-        wide = np.zeros((2, len(pieces), self.longest), np.uint16)
-        wide[1] = 0xFFFF
-        for i, p in enumerate(pieces):
-            wide[:, i, :len(p)] = self.letters(p)
-        return wide.astype(">u2").view(f"S{2 * self.longest}")[..., 0]
+    @staticmethod
+    def mark(keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
     def may_follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging the joined text of pieces a and b gives a and b (START: nothing before)."""
@@ -150,8 +152,10 @@ class Vocabulary:
         limit = np.full(len(live), np.iinfo(np.int64).max)
         while len(live):
             key = x * (self.unknown + 1) + y
-            at = np.minimum(np.searchsorted(self.joint_keys, key), len(self.joint_keys) - 1)
-            crossed = (self.joint_keys[at] == key) & (self.joint[at] < limit)
+            may = np.flatnonzero(self.marked[self.mark(key)])
+            at = np.minimum(np.searchsorted(self.joint_keys, key[may]), len(self.joint_keys) - 1)
+            crossed = np.zeros(len(key), bool)
+            crossed[may] = (self.joint_keys[at] == key[may]) & (self.joint[at] < limit[may])
             out[live[crossed]] = False
             sx, sy = self.split[x, 1], self.split[y, 0]
             # undo the later of the two merges; at equal rank the right one, since the left one came first
@@ -165,10 +169,14 @@ class Vocabulary:
 
     def edges(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, piece) of every occurrence of a piece, by suffix array and binary search."""
-        wide = np.concatenate((chars, np.zeros(self.longest, np.uint16))).astype(">u2")
-        suffixes = np.ndarray((len(chars),), f"S{2 * self.longest}", wide.data, 0, (2,))
+        # the characters that occur, numbered anew in the same order: most often they fit a byte
+        there = np.bincount(chars, minlength=len(self.alphabet) + 2) > 0
+        there[:2] = True
+        number = np.cumsum(there) - 1
+        kind, width = (np.dtype(np.uint8), 8) if number[-1] < 255 else (np.dtype(">u2"), 16)
+        wide = np.concatenate((number[chars], np.zeros(self.longest, np.int64))).astype(kind)
+        suffixes = np.ndarray((len(chars),), f"S{kind.itemsize * self.longest}", wide.data, 0, (kind.itemsize,))
         order = np.flatnonzero(chars > 1)
-        width = int(len(self.alphabet) + 2).bit_length()
         step = 64 // width
         for at in range((self.longest - 1) // step * step, -1, -step):  # stable sorts, `step` characters at a time
             word = np.zeros(len(chars), np.uint64)
@@ -176,11 +184,15 @@ class Vocabulary:
                 word = (word << np.uint64(width)) | wide[k:k + len(chars)].astype(np.uint64)
             order = order[np.argsort(word[order], kind="stable")]
         ordered = suffixes[order]
-        low = np.searchsorted(ordered, self.keys[0], "left").astype(np.int32)
-        n = np.searchsorted(ordered, self.keys[1], "right").astype(np.int32) - low
+        usable = np.flatnonzero(there[self.spelled].all(1))
+        spelled = self.spelled[usable]
+        low, high = number[spelled], np.where(spelled > 0, number[spelled], (1 << width) - 1)
+        low, high = (np.ascontiguousarray(x.astype(kind)).view(ordered.dtype)[:, 0] for x in (low, high))
+        low = np.searchsorted(ordered, low, "left").astype(np.int32)
+        n = np.searchsorted(ordered, high, "right").astype(np.int32) - low
         del ordered
         place = np.arange(n.sum(), dtype=np.int32) + np.repeat(low - np.cumsum(n, dtype=np.int32) + n, n)
-        return order.astype(np.int32)[place], np.repeat(self.sought, n)
+        return order.astype(np.int32)[place], np.repeat(self.sought[usable], n)
 
     def match(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all stretches in a row, number of ids of each): at most one space character, at a stretch's beginning."""
@@ -266,40 +278,59 @@ class Vocabulary:
         return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
 
-class Encoder:
-    """Encodes texts batch by batch and remembers short stretches: their ids lie in one array that grows."""
+class Memory:
+    """Ids of texts that were seen before, in one array that grows until there are too many."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.cut = vocabulary, vocabulary.stretches().findall
+    def __init__(self, make):
+        self.make = make  # texts -> (ids of all in a row, number of ids of each)
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def learn(self, stretches: list[str]) -> None:
-        ids, count = self.vocabulary.stretch_ids(stretches)
-        self.known.update(zip(stretches, range(len(self.known), len(self.known) + len(stretches))))
-        self.ids = np.concatenate((self.ids, ids))
-        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(count)))
-
-    def encode(self, texts: pa.Array) -> pa.Array:
-        """A list of ids per text."""
-        marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in pc.fill_null(texts, "").to_pylist()]
-        found = [self.cut(t) for t in marked]
-        used = list(chain.from_iterable(found))
+    def look_up(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of all lists in a row, number of ids of each list)."""
+        used = list(chain.from_iterable(lists))
         new = set(used).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED or len(self.ids) > REMEMBERED * SHORT:
             self.forget()
             new = set(used)
         if new:
-            self.learn(list(new))
+            names = list(new)
+            ids, count = self.make(names)
+            self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
+            self.ids = np.concatenate((self.ids, ids))
+            self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(count)))
         number = np.fromiter(map(self.known.__getitem__, used), np.int64, len(used))
         n = self.ends[number + 1] - self.ends[number]
         tops = np.cumsum(n)
         place = np.arange(n.sum()) + np.repeat(self.ends[number] - tops + n, n)
-        ends = np.concatenate(([0], tops))[np.cumsum([0, *map(len, found)])]
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(self.ids[place], pa.int32()))
+        return self.ids[place], np.diff(np.concatenate(([0], tops))[np.cumsum([0, *map(len, lists)])])
+
+
+class Encoder:
+    """Encodes texts batch by batch: texts from words, new words from stretches, new stretches by matching."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.cut = vocabulary.stretches().findall
+        self.stretches = Memory(vocabulary.stretch_ids)
+        self.words = Memory(lambda words: self.stretches.look_up([self.cut(w if w[0] == SPACE else SPACE + w) for w in words]))
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """A list of ids per text."""
+        ids, count = self.words.look_up([self.units(t) for t in pc.fill_null(texts, "").to_pylist()])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))), pa.int32()), pa.array(ids, pa.int32()))
+
+    @staticmethod
+    def units(text: str) -> list[str]:
+        """Words, and with several spaces before it a word together with them; joined they are the text."""
+        if not text:
+            return []
+        if "  " in text or text[0] == " " or text[-1] == " " or SPACE in text:
+            every = UNIT.findall(SPACE + text.replace(" ", SPACE))
+            return [u[1:] if len(u) > 1 and u[1] != SPACE else u for u in every]
+        return text.split(" ")
 
 
 def encode(text: Column, vocabulary: Vocabulary) -> Column:
@@ -319,20 +350,19 @@ class Decoder:
     """Bytes of every id, and texts made of them."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.shown, self.ends = vocabulary.shown, vocabulary.shown_ends
+        self.shown = pa.array(vocabulary.shown, pa.large_binary())
 
     def texts(self, lists: pa.Array) -> Iterator[bytes]:
         """UTF-8 of every list of ids, without the space that encoding puts before a text."""
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
-        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.ends) - 1):
+        flat = lists.flatten()
+        if len(flat) and (pc.min(flat).as_py() < 0 or pc.max(flat).as_py() >= len(self.shown)):
             raise ValueError("an id is outside the vocabulary")
-        n = self.ends[flat + 1] - self.ends[flat]
-        tops = np.cumsum(n)
-        place = np.arange(n.sum()) + np.repeat(self.ends[flat] - tops + n, n)
-        joined = self.shown[place].tobytes()
-        cuts = np.concatenate(([0], tops))[np.cumsum([0, *pc.list_value_length(lists).to_pylist()])].tolist()
+        taken = self.shown.take(flat)  # one after the other in one buffer
+        ends = np.frombuffer(taken.buffers()[1], np.int64) if len(flat) else np.zeros(1, np.int64)
+        joined = memoryview(taken.buffers()[2] or b"") if len(flat) else memoryview(b"")
+        cuts = ends[np.cumsum([0, *pc.list_value_length(lists).to_pylist()])].tolist()
         for a, b in zip(cuts, cuts[1:]):
-            yield joined[a + 1:b] if joined[a:a + 1] == b" " and b > a else joined[a:b]
+            yield bytes(joined[a + 1:b] if joined[a:a + 1] == b" " and b > a else joined[a:b])
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
