@@ -20,11 +20,17 @@ def vertices_of(edges: DataFrame) -> DataFrame:
 
 
 def shortest_paths(edges: DataFrame, source) -> DataFrame:
-    """(v, dist): least weight from the source; only improved vertices travel each round."""
-    settings.ensure_checkpoint_dir(edges.sparkSession)
+    """(v, dist): least weight from the source, which has a row itself; only improved vertices travel each round.
+
+    Weights must not be negative: a circle of such edges has no least weight.
+    """
+    spark = edges.sparkSession
+    settings.ensure_checkpoint_dir(spark)
     edges = edges.groupBy("src", "dst").agg(F.min("w").alias("w")).checkpoint()
-    zero = F.lit(0).cast(dict(edges.dtypes)["w"])
-    start = edges.filter(F.col("src") == F.lit(source)).limit(1).select(F.col("src").alias("v"), zero.alias("dist"))
+    if (edges.agg(F.min("w")).first()[0] or 0) < 0:
+        raise ValueError("an edge has a negative weight")
+    kinds = dict(edges.dtypes)
+    start = spark.range(1).select(F.lit(source).cast(kinds["src"]).alias("v"), F.lit(0).cast(kinds["w"]).alias("dist"))
     known = frontier = start.checkpoint()
     while size := frontier.count():
         reached = lookup(edges, frontier, [("src", "v")], dim_rows=size).groupBy(F.col("dst").alias("v")).agg(
@@ -37,9 +43,13 @@ def shortest_paths(edges: DataFrame, source) -> DataFrame:
     return known
 
 
-def network_delay(edges: DataFrame, source) -> DataFrame:
-    """Largest shortest distance from the source, -1 if a vertex is out of reach."""
-    found = vertices_of(edges).join(shortest_paths(edges, source), "v", "left")
+def network_delay(edges: DataFrame, source, vertices: DataFrame | None = None) -> DataFrame:
+    """Largest shortest distance from the source, -1 if a vertex is out of reach.
+
+    ``vertices`` (column v) names all vertices; without it only those with an edge count.
+    """
+    every = vertices_of(edges) if vertices is None else vertices.select("v").distinct()
+    found = every.join(shortest_paths(edges, source), "v", "left")
     return found.agg(
         F.when(F.count("dist") == F.count(F.lit(1)), F.max("dist")).otherwise(F.lit(-1)).cast("bigint").alias("delay"))
 
@@ -143,7 +153,11 @@ def leaf_sequence(nodes: DataFrame, tree: list[str]) -> DataFrame:
         F.when(F.col("parent").isNull(), "").otherwise(F.col("side").cast("string")).alias("path")).checkpoint()
     parents = paths.select(*tree, F.col("up").alias("node")).filter(F.col("node").isNotNull()).distinct()
     leaves = paths.select(*tree, "node").join(parents, [*tree, "node"], "left_anti").checkpoint()
+    steps, most = 1, paths.count()
     while not paths.filter(F.col("up").isNotNull()).isEmpty():
+        if steps > most:  # a path from the root is never longer than the number of nodes
+            raise ValueError("parents form a circle")
+        steps *= 2
         above = paths.select(*[F.col(c).alias(f"_{c}") for c in tree], F.col("node").alias("_node"),
                              F.col("up").alias("_up"), F.col("path").alias("_path"))
         # towards the end most nodes of a tree ask for the same few ancestors

@@ -200,11 +200,19 @@ def trailing_count(df: DataFrame, keys: list[str], time: str, tie: str, micros:
     return o.rows().filter("kind = 1").select(*keys, F.col("tie").alias(tie), "n")
 
 
-def head_start(df: DataFrame, keys: list[str], order: list[str], value: str, threshold: str, first: int) -> DataFrame:
-    """Least extra start so that the running total always exceeds the next threshold."""
-    o = Ordered(df.select(*keys, *order, value, threshold), keys, order).scan(_before=running("sum", value, before=True))
-    lack = F.col(threshold) - first - F.coalesce("_before", F.lit(0)) + 1
-    return o.rows().groupBy(*keys).agg(F.greatest(F.max(lack), F.lit(0)).cast(LONG).alias("extra"))
+def head_start(df: DataFrame, keys: list[str], order: list[str], value: str, threshold: str, first: int,
+               spent: str | None = None, stock: int = 0) -> DataFrame:
+    """Least extra start so that the running total always exceeds the next threshold.
+
+    With ``spent``, what the rows use up in all must stay below the ``stock``, too: what lacks there is
+    added to the extra start.
+    """
+    columns = [*keys, *order, value, threshold] + ([F.col(spent).alias("_spent")] if spent else [])
+    o = Ordered(df.select(*columns), keys, order).scan(_before=running("sum", value, before=True))
+    lack = F.greatest(F.max(F.col(threshold) - first - F.coalesce("_before", F.lit(0)) + 1), F.lit(0))
+    if spent:
+        lack = lack + F.greatest(F.sum("_spent") - stock + 1, F.lit(0))
+    return o.rows().groupBy(*keys).agg(lack.cast(LONG).alias("extra"))
 
 
 def softmax(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:

@@ -63,7 +63,7 @@ def column_means(t):
 
 @query("i06_diagonal", f"""
 WITH {_M}, c AS (SELECT j AS i, avg(v) AS v FROM m GROUP BY 1)
-SELECT a.i, b.i AS j, CASE WHEN a.i = b.i THEN round(a.v, 10) ELSE 0 END AS v FROM c a, c b""")
+SELECT a.i, b.i AS j, round(a.v, 10) AS v FROM c a JOIN c b ON a.i = b.i""")
 def diagonal(t):
     means = matrix.column_means(entries(t)).select(F.col("j").alias("i"), F.round("mean", 10).alias("v"))
     return matrix.diagonal(means)

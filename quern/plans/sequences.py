@@ -256,9 +256,10 @@ def every_third_free(t):
 @query("f22_head_start", f"""
 WITH {_SEQ}, p AS (SELECT user_id, event_id, v, coalesce(sum(v) OVER (PARTITION BY user_id ORDER BY i
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM s)
-SELECT user_id, CAST(greatest(max(event_id - 100 - b + 1), 0) AS BIGINT) AS extra FROM p GROUP BY 1""")
+SELECT user_id, CAST(greatest(max(event_id - 100 - b + 1), 0) + greatest(sum(event_id % 7) - 20 + 1, 0) AS BIGINT) AS extra FROM p GROUP BY 1""")
 def head_start(t):
-    return sequence.head_start(events(t).withColumn("need", F.col("event_id")), ["user_id"], _ORDER, "v", "need", 100)
+    rows = events(t).withColumn("need", F.col("event_id")).withColumn("spent", F.col("event_id") % 7)
+    return sequence.head_start(rows, ["user_id"], _ORDER, "v", "need", 100, "spent", 20)
 
 
 @query("f23_repeated_pair", f"""

@@ -21,7 +21,8 @@ def stream_parquet(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """A file stream over the Parquet files of one table, a single file or a folder of them."""
     path = f"{directory}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(path)
+    # a pattern that only this path matches: a plain path would have to be a folder
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def trailing_counts(events: DataFrame, key: str, time: str, tie: str, window: int = 3_000_000, bucket: int = 6 * HOUR,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern import settings
-from quern.operators import matrix, similarity
+from quern.operators import graph, matrix, sequence, similarity
 from quern.operators.ordered import ranked
 from quern.plans import QUERIES
 from quern.plans.curation import conversation_pairs
@@ -120,3 +120,25 @@ def test_dot_products_of_common_and_rare_tokens(monkeypatch):
     for most in (1000, 50, 0):
         monkeypatch.setattr(similarity, "DENSE", most)
         assert np.allclose(similarity.dots(*sides), dense[0] @ dense[1].T)
+
+
+def test_paths_from_any_source_to_all_vertices(spark):
+    edges = spark.createDataFrame([(1, 2, 5)], "src int, dst int, w int")
+    assert [tuple(r) for r in graph.shortest_paths(edges, 2).collect()] == [(2, 0)]
+    vertices = spark.createDataFrame([(1,), (2,), (3,)], "v int")
+    assert graph.network_delay(edges, 1).first()[0] == 5
+    assert graph.network_delay(edges, 1, vertices).first()[0] == -1
+    with pytest.raises(ValueError):
+        graph.shortest_paths(spark.createDataFrame([(1, 2, -5)], "src int, dst int, w int"), 1)
+
+
+def test_circles_of_parents_end(spark):
+    nodes = spark.createDataFrame([(1, 1, 2, 0, "a"), (1, 2, 1, 1, "b")], "t int, node int, parent int, side int, value string")
+    with pytest.raises(ValueError):
+        graph.leaf_sequence(nodes, ["t"]).count()
+
+
+def test_head_start_with_a_stock(spark, both_ways):
+    df = spark.createDataFrame([(1, i, x, 1) for i, x in enumerate([1, 1, 1, 50])], "k int, i int, x int, e int")
+    assert [r.extra for r in sequence.head_start(df, ["k"], ["i"], "x", "x", 1, "e", 1).collect()] == [51]
+    assert [r.extra for r in sequence.head_start(df, ["k"], ["i"], "x", "x", 1, "e", 9).collect()] == [47]
