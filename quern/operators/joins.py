@@ -91,17 +91,19 @@ def pairs_at_distance(df: DataFrame, keys: list[str], value: str, distance: int)
 def one_letter_neighbours(words: DataFrame, word: str) -> DataFrame:
     """Pairs of words that differ in exactly one letter.
 
-    Every word is stored under each of its masked forms.  A masked form holds at
+    Every word is stored under each of its places with the rest of its letters.  Such a form holds at
     most one word per letter of the alphabet, which bounds the join's groups.
     """
     w = words.select(F.col(word).alias("a")).distinct()
     masks = F.transform(
         F.sequence(F.lit(1), F.length("a")),
-        lambda i: F.concat(F.substring(F.col("a"), F.lit(1), i - 1), F.lit("_"), F.substring(F.col("a"), i + 1, F.length("a"))),
+        lambda i: F.struct(i.alias("place"), F.concat(
+            F.substring(F.col("a"), F.lit(1), i - 1), F.substring(F.col("a"), i + 1, F.length("a"))).alias("rest")),
     )
-    left = w.filter(F.length("a") > 0).select("a", F.explode(masks).alias("mask"))
-    right = left.select(F.col("a").alias("b"), F.col("mask").alias("_mask"))
-    return left.join(right, (F.col("mask") == F.col("_mask")) & (F.col("a") < F.col("b"))).select("a", "b")
+    left = w.filter(F.length("a") > 0).select("a", F.explode(masks).alias("m")).select("a", "m.place", "m.rest")
+    right = left.select(F.col("a").alias("b"), F.col("place").alias("_place"), F.col("rest").alias("_rest"))
+    same = (F.col("place") == F.col("_place")) & (F.col("rest") == F.col("_rest"))
+    return left.join(right, same & (F.col("a") < F.col("b"))).select("a", "b")
 
 
 def dependency_context(tasks: DataFrame) -> DataFrame:

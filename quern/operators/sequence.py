@@ -99,8 +99,10 @@ def variable_frame_sum(df: DataFrame, keys: list[str], order: list[str], value:
     before = rows.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("i").alias("_i"), F.col("upto").alias("_upto"))
     start = F.greatest(F.lit(1), F.col("i") - F.col(value))
     on = null_safe([F.col(c) for c in keys], [F.col(f"_{c}") for c in keys]) & (start - 1 == F.col("_i"))
-    return rows.join(before, on, "left").groupBy(*keys).agg(
-        F.sum(F.col("upto") - F.coalesce("_upto", F.lit(0))).cast(LONG).alias("total"))
+    # frames that reach the first row have nothing before them, and need not look for it
+    first = rows.filter(start <= 1).select(*keys, F.col("upto").alias("part"))
+    later = rows.filter(start > 1).join(before, on).select(*keys, (F.col("upto") - F.col("_upto")).alias("part"))
+    return first.unionByName(later).groupBy(*keys).agg(F.sum("part").cast(LONG).alias("total"))
 
 
 def shortest_run_reaching(df: DataFrame, keys: list[str], order: list[str], value: str, target: int) -> DataFrame:
@@ -217,7 +219,10 @@ def head_start(df: DataFrame, keys: list[str], order: list[str], value: str, thr
 
 def softmax(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """exp(x - max) over its sum, within the key."""
-    o = Ordered(df, keys, order).scan(_top=total("max", value))
-    o.df = o.df.withColumn("_e", F.exp(F.col(value) - F.col("_top")))
-    return o.scan(_sum=total("sum", "_e")).rows().withColumn(
-        "softmax", F.col("_e") / F.col("_sum")).drop("_top", "_e", "_sum")
+    names = [f"_k{i}" for i in range(len(keys))]
+    on = null_safe([F.col(k) for k in keys], [F.col(n) for n in names])
+    groups = [F.col(k).alias(n) for k, n in zip(keys, names)]
+    with_top = df.join(df.groupBy(*groups).agg(F.max(value).alias("_top")), on).drop(*names).withColumn(
+        "_e", F.exp(F.col(value) - F.col("_top")))
+    sums = with_top.groupBy(*groups).agg(F.sum("_e").alias("_sum"))
+    return with_top.join(sums, on).withColumn("softmax", F.col("_e") / F.col("_sum")).drop("_top", "_e", "_sum", *names)

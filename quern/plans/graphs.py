@@ -61,9 +61,15 @@ def part_circle(t):
         F.when(odd, F.col("b")).otherwise(F.col("a")).alias("src"), F.when(odd, F.col("a")).otherwise(F.col("b")).alias("dst")).distinct()
 
 
+_MIXED = """f AS MATERIALIZED (SELECT DISTINCT CASE WHEN l_orderkey % 2 = 1 THEN b ELSE a END AS src, CASE WHEN l_orderkey % 2 = 1 THEN a ELSE b END AS dst
+  FROM (SELECT l_orderkey, min(l_partkey) AS a, max(l_partkey) AS b FROM lineitem GROUP BY 1) WHERE a < b)"""
+
+
 @query("j03_acyclic", f"""
-WITH {_DAG} SELECT 'ascending' AS graph, (SELECT count(*) FROM v) AS vertices, true AS acyclic
-UNION ALL SELECT 'mixed', (SELECT count(*) FROM v), false""")
+WITH RECURSIVE {_DAG}, {_MIXED}, r(a, b) AS (SELECT src, dst FROM e UNION SELECT r.a, e.dst FROM r JOIN e ON e.src = r.b),
+ x(a, b) AS (SELECT src, dst FROM f UNION SELECT x.a, f.dst FROM x JOIN f ON f.src = x.b)
+SELECT 'ascending' AS graph, (SELECT count(*) FROM v) AS vertices, NOT EXISTS (SELECT 1 FROM r WHERE a = b) AS acyclic
+UNION ALL SELECT 'mixed', (SELECT count(*) FROM v), NOT EXISTS (SELECT 1 FROM x WHERE a = b)""")
 def acyclic(t):
     """The first graph only has growing keys; the second holds two-way pairs or longer cycles."""
     one = graph.is_acyclic(part_order(t)).withColumn("graph", F.lit("ascending"))

@@ -119,7 +119,8 @@ def enterprise_purchases(t):
     """Distinct (product, customer) pairs of the BUILDING segment."""
     firms = t.customer.filter("c_mktsegment = 'BUILDING'").select("c_custkey")
     theirs = lookup(t.orders.select("o_orderkey", "o_custkey"), firms, [("o_custkey", "c_custkey")])
-    lines = lookup(t.lineitem.select("l_orderkey", "l_partkey").distinct(), theirs, [("l_orderkey", "o_orderkey")])
+    # an order has a few lines only: no key is hot, and the selective join comes before anything is made distinct
+    lines = t.lineitem.select("l_orderkey", "l_partkey").join(theirs, F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select("l_partkey", "o_custkey").distinct()
 
 
@@ -282,7 +283,7 @@ def ordered_in_every_region(t):
     home = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
     per_order = lookup(t.lineitem.select("l_orderkey", "l_suppkey"), home, [("l_suppkey", "s_suppkey")]).select(
         "l_orderkey", "n_regionkey").distinct()
-    pairs = lookup(per_order, t.orders.select("o_orderkey", "o_custkey"), [("l_orderkey", "o_orderkey")]).select(
+    pairs = per_order.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         "o_custkey", "n_regionkey").distinct()
     regions = t.region.count()
     return pairs.groupBy("o_custkey").agg(_count().alias("k")).filter(F.col("k") == regions).select("o_custkey")
@@ -317,7 +318,7 @@ SELECT r_name, p_type, round(r / sum(r) OVER (PARTITION BY r_name), 8) AS share,
 def category_share_by_region(t):
     typed = lookup(t.lineitem, t.part.select("p_partkey", "p_type"), [("l_partkey", "p_partkey")])
     per_order = typed.groupBy("l_orderkey", "p_type").agg(F.sum(revenue()).alias("r"))
-    per_customer = lookup(per_order, t.orders.select("o_orderkey", "o_custkey"), [("l_orderkey", "o_orderkey")]).groupBy(
+    per_customer = per_order.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
         "o_custkey", "p_type").agg(F.sum("r").alias("r"))
     per_region = with_customer(t, per_customer).groupBy("r_name", "p_type").agg(F.sum("r").alias("r"))
     w = W.partitionBy("r_name")
