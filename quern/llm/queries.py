@@ -67,7 +67,36 @@ def op2(spark: SparkSession, directory: str) -> DataFrame:
     return sharding.shard(table(spark, directory, "documents"))
 
 
-@query("op6_licenses")
+def _license_pairs() -> str:
+    """Voting pairs of words of all templates as SQL rows: template, label, base, votes, m, at, first and second word."""
+    rows = []
+    every = [(*p, True) for p in licenses.PHRASES] + [(*n, False) for n in licenses.NOTICES]
+    for number, (label, text, base) in enumerate(every):
+        words = text.split()
+        voting = [(i, a, b) for i, (a, b) in enumerate(zip(words, words[1:])) if base or not {a, b} <= licenses.COMMON]
+        rows += [f"({number}, '{label}', {base}, {len(voting)}, {len(words)}, {i}, '{a}', '{b}')" for i, a, b in voting]
+    return ", ".join(rows)
+
+
+_LICENSES = rf"""
+WITH t(template, label, base, votes, m, place, a, b) AS (VALUES {_license_pairs()}),
+ d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
+   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+ g AS (SELECT r, i - 1 AS p, w[i] AS a, w[i + 1] AS b FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM d)),
+ v AS (SELECT r, template, label, base, votes, m, p - place AS diagonal, list(place) AS places, min(p) AS low, max(p) + {licenses.K} AS high
+   FROM g JOIN t USING (a, b) GROUP BY ALL),
+ f AS (SELECT *, base OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.NEIGHBOURS}, true) AS first FROM v),
+ n AS (SELECT *, count_if(first) OVER (PARTITION BY r, template ORDER BY diagonal) AS grp FROM f),
+ o AS (SELECT r, template, label, base, votes, m, grp, min(low) AS low, max(high) AS high, len(list_distinct(flatten(list(places)))) AS got FROM n GROUP BY ALL),
+ k AS (SELECT *, CAST(got AS DOUBLE) / votes AS share, base AND got = votes AS whole FROM o),
+ h AS (SELECT *, whole OR (NOT base AND share >= CASE WHEN votes < {licenses.SHORT} THEN 1.0 ELSE {licenses.COVERAGE} END AND high - low <= {licenses.STRETCH} * m) AS found FROM k)
+SELECT doc_id, len(w) AS n_words, count(*) FILTER (WHERE whole) AS n_base, min(low) FILTER (WHERE whole) AS first_word, max(low) FILTER (WHERE whole) AS last_word,
+ coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE whole))), ','), '') AS base_labels,
+ coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE found))), ','), '') AS labels,
+ coalesce(max(least(share, 1.0)) FILTER (WHERE found), 0.0) AS score FROM d LEFT JOIN h USING (r) GROUP BY r, doc_id, w"""
+
+
+@query("op6_licenses", _LICENSES)
 def op6(spark: SparkSession, directory: str) -> DataFrame:
     return licenses.scan(table(spark, directory, "documents"))
 
