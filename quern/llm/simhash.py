@@ -257,7 +257,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, **tree) -> Data
     rows = rows.groupBy("id", "h", "fp").agg(F.count(F.lit(1)).alias("n")).checkpoint()
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "n")).alias("first")
     nodes = rows.groupBy("fp").agg(first).join(classes(rows, radius, **tree), "fp")
-    kept = nodes.groupBy("component").agg(F.min("first").alias("first")).select("first.*").checkpoint()
+    return one_of_each(docs, nodes.groupBy("component").agg(F.min("first").alias("first")).select("first.*").checkpoint())
+
+
+def one_of_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` (id, h, n) names; of those that occur n > 1 times one."""
     repeated = kept.filter("n > 1")
     out = semi_or_anti(docs, kept.filter("n = 1"), "left_semi")
     if repeated.isEmpty():
