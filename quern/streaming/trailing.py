@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -25,15 +26,32 @@ def stream_parquet(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
+def disorder(spark: SparkSession, directory: str, name: str, time: str, least: int = 600_000) -> str:
+    """How late an event of a stored table can come when its files are read one after the other, ``least`` ms at least.
+
+    A stream takes files by their time of writing, and those of one time in any order.  An event comes after events of
+    files that are not younger than its own, so it is late by at most the newest of these less its own time.
+    """
+    table = spark.read.parquet(f"{directory}/{name}.parquet")
+    rows = table.select(F.unix_micros(table[time].cast("timestamp")).alias("at"), F.col("_metadata.file_modification_time").alias("written"))
+    files = rows.groupBy("written").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))  # at most one row per file
+    newest = F.max("hi").over(W.orderBy("written"))
+    late = files.select((newest - F.col("lo")).alias("late")).agg(F.max("late")).first()[0]
+    return f"{max(least, (late or 0) // 1000 + 1)} milliseconds"
+
+
 def trailing_counts(events: DataFrame, key: str, time: str, tie: str, window: int = 3_000_000, bucket: int = 6 * HOUR,
                     late: str = "10 minutes") -> DataFrame:
     """(key, tie, n): for each event as it arrives, the key's events in the closed window before it.
 
+    If an event comes after events that have to count it, these get another row; the largest n of an event is the last.
+
     ``time`` is a timestamp; ``window`` and ``bucket`` are microseconds.  There is one
     state per key and stretch of time, so a busy key moves through all tasks; an event near
     the end of a stretch is also shown to the next one.  A state holds what a late event may still
     have to count: everything from the watermark less the window on.  It goes when the watermark has
-    passed its stretch.  Events later than the watermark are dropped.
+    passed its stretch.  Events later than the watermark are dropped; for a stored table ``disorder`` gives a
+    ``late`` that drops none.
     """
     at = F.unix_micros(time)
     own = F.floor(at / bucket)
@@ -41,7 +59,10 @@ def trailing_counts(events: DataFrame, key: str, time: str, tie: str, window: in
     spread = F.array_compact(F.array(own, F.when(near_end, own + 1)))
     rows = events.withWatermark(time, late).select(
         F.col(key).cast("bigint").alias("k"), F.col(time).alias("ts"), at.alias("at"), F.col(tie).cast("bigint").alias("id"),
-        own.alias("own"), F.explode(spread).alias("part"))
+        F.explode(spread).alias("part"))
+
+    def counted(a: np.ndarray) -> np.ndarray:
+        return np.arange(1, len(a) + 1) - np.searchsorted(a, a - window, side="left")
 
     def count(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -51,15 +72,18 @@ def trailing_counts(events: DataFrame, key: str, time: str, tie: str, window: in
         new = pd.concat(list(batches))
         a, i = (np.concatenate([np.asarray(o, dtype=np.int64), new[n].to_numpy(dtype=np.int64)])
                 for n, o in zip(("at", "id"), old))
-        fresh = np.concatenate([np.zeros(len(old[0]), bool), (new["own"] == new["part"]).to_numpy()])
         order = np.lexsort((i, a))
-        a, i, fresh = a[order], i[order], fresh[order]
-        n = np.arange(1, len(a) + 1) - np.searchsorted(a, a - window, side="left")
+        known = order < len(old[0])  # events of the state, which are in order
+        a, i = a[order], i[order]
+        n = counted(a)
+        told = np.zeros(len(a), np.int64)
+        told[known] = counted(a[known])
+        emit = (a // bucket == group[1]) & (n > told)
         mark = state.getCurrentWatermarkMs()
         live = a >= mark * 1000 - window
         state.update((a[live].tolist(), i[live].tolist()))
         state.setTimeoutTimestamp(max((int(group[1]) + 1) * bucket // 1000, mark) + window // 1000 + 1)
-        yield pd.DataFrame({"k": int(group[0]), "id": i[fresh], "n": n[fresh]})
+        yield pd.DataFrame({"k": int(group[0]), "id": i[emit], "n": n[emit]})
 
     out = rows.groupBy("k", "part").applyInPandasWithState(
         count, "k bigint, id bigint, n bigint", "at array<bigint>, id array<bigint>", "append",

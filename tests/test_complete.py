@@ -49,6 +49,17 @@ def test_late_events_count_what_came_before(spark):
     assert {r["id"]: r.n for r in out.collect()} == {0: 1, 1: 2, 2: 3, 3: 1, 4: 4, 5: 2, 6: 1}
 
 
+def test_replay_of_files_in_any_order_counts_all_events(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(trailing, "FILES", 1)
+    rng = random.Random(6)
+    rows = [(i, rng.randrange(4), 1_700_000_000_000 + i * 45_000 + rng.randrange(3) * 1000) for i in range(400)]
+    rows += [(1000 + i, k, ms + 1500) for i, k, ms in rows[::3]]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, ms bigint").select(
+        "event_id", "user_id", F.timestamp_millis("ms").alias("ts")).repartition(6, "event_id").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.event_id: r.n for r in QUERIES["k01_streaming_trailing_count"](spark, str(tmp_path)).collect()}
+    assert got == {i: sum(l == k and m - 3000 <= o and (o, j) <= (m, i) for j, l, o in rows) for i, k, m in rows}
+
+
 def test_pairs_of_long_conversations(spark, tmp_path):
     turns = [(c, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for c in (1, 2) for i in range(1200)]
     spark.createDataFrame(turns, "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
