@@ -263,6 +263,23 @@ def test_main_text(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found.values())
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>One</p><script>for(i=0;i<n;i++){a()}</script><article><p>Two</p></article><script>b</script>", "Two"),
+    ("<article><p>One</p><SCRIPT>if(a<b){'</p>'}</Script ><p>Two</p></article>", "One Two"),
+    ("<title>a <b</title><style>p<q{}</style><main><p>One</p><textarea><p></textarea>Two</main>", "One Two"),
+    ("<article style=\"overflow:hidden\" data-hidden='false'><p title='the hidden cost'>One</p></article>", "One"),
+    ("<article><p>See <a href=\"/x?id=search\">this</a> <a href=/y?class=ad>that</a></p></article>", "See this that"),
+    ("<article><p hidden>a<p>One<p CLASS='x ad'>b<ul><li class=share>c<li>Two</ul></article>", "One Two"),
+    ("<article><div><p class=ad>a</div><p>One</p><ul><li class=ad>b<ul><li>c</ul></ul>Two</article>", "One Two"),
+    ("<article><table><tr><td class=ad>a<td>One<tr><td>Two<td class=ad>b</table>Three</article>", "One Two Three"),
+    ("<head><meta charset=x><body><article><div class=ad><div>a</div><span>b</span></div>One</article>", "One"),
+    ("<article>One <span class=ad>a <span>b</span> c</span> two<nav><div>d</div>e</nav></article>", "One two"),
+])
+def test_markup_of_ordinary_pages(page, text):
+    marked, own, _ = pages.blocks(page)
+    assert marked and " ".join(own) == text
+
+
 def test_pages_without_an_article(spark, both_ways):
     page = lambda x: f"<body><div>Site menu</div><div>{x}</div><div>About us</div><p>More {x}</p></body>"
     rows = [(i, f"http://h.example/a/{i}", page(f"text {i}")) for i in range(9)]
