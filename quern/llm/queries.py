@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quern.llm import (
     decontaminate,
     licenses,
+    mixing,
     ngrams,
     pages,
     pieces,
@@ -116,6 +117,30 @@ def op8(spark: SparkSession, directory: str) -> DataFrame:
     return pages.main_text(table(spark, directory, "pages"))
 
 
+_MIX = r"""
+WITH d AS MATERIALIZED (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+   md5(concat('11:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))) AS draw FROM documents),
+ s AS (SELECT source, sum(size) AS z, row_number() OVER (ORDER BY source IS NULL, source) AS place FROM d GROUP BY source),
+ w AS (SELECT *, [3, 1, 2][(place - 1) % 3 + 1] AS w FROM s),
+ o AS (SELECT *, row_number() OVER r AS nth, coalesce(sum(z) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+   coalesce(sum(w) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS light, sum(z) OVER () AS words, sum(w) OVER () AS weights
+   FROM w WINDOW r AS (ORDER BY z / w, place)),
+ q AS (SELECT *, 3 * words - 4 * below AS open, 2 * (weights - light) AS rest FROM o),
+ l AS (SELECT nth, open, rest FROM q WHERE 2 * z * rest >= open * w ORDER BY nth LIMIT 1),
+ t AS (SELECT q.source, CAST(q.z AS BIGINT) AS z, CASE WHEN q.nth < l.nth THEN CAST(2 * q.z AS DOUBLE) ELSE l.open * q.w / l.rest END AS target,
+   CAST(CASE WHEN q.nth < l.nth THEN 2 * q.z ELSE l.open * q.w // l.rest END AS BIGINT) AS budget FROM q, l),
+ p AS (SELECT doc_id, size, z, target, CASE WHEN z > 0 THEN budget // z ELSE 0 END AS epochs, budget,
+   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, z AS source_size, target,
+  CAST(epochs * size + least(greatest(budget - epochs * z - ahead, 0), size) AS BIGINT) AS taken FROM p"""
+
+
+@query("op11_mixing", _MIX)
+def op11(spark: SparkSession, directory: str) -> DataFrame:
+    return mixing.mix(table(spark, directory, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, directory: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository
