@@ -14,6 +14,7 @@ from quern.llm import (
     pages,
     pieces,
     quality,
+    ranking,
     secret_scan,
     sharding,
     simhash,
@@ -141,6 +142,28 @@ def op11(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mix(table(spark, directory, "documents"))
 
 
+_RANK = r"""
+WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+ s AS (SELECT count(*) AS texts, sum(len(w)) AS words FROM t WHERE len(w) > 0),
+ i AS (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark),
+ q AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+ f AS MATERIALIZED (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM t) GROUP BY ALL),
+ d AS (SELECT term, count(*) AS df FROM f WHERE term IN (SELECT term FROM q) GROUP BY term),
+ w AS (SELECT term, CAST(floor(1000 * ln((2 * texts + 2) / (2 * df + 1))) AS BIGINT) AS w FROM d, s),
+ e AS (SELECT r, doc_id, f.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * texts) // words))) AS part
+   FROM f JOIN w ON f.term = w.term CROSS JOIN s),
+ c AS (SELECT item_id, text, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN e ON q.term = e.term GROUP BY ALL HAVING sum(part) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM c
+QUALIFY row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) <= 50"""
+
+
+@query("op12_ranking", _RANK)
+def op12(spark: SparkSession, directory: str) -> DataFrame:
+    return ranking.rank(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, directory: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository
