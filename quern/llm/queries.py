@@ -12,6 +12,7 @@ from quern.llm import (
     mixing,
     ngrams,
     pages,
+    phrases,
     pieces,
     quality,
     ranking,
@@ -164,6 +165,30 @@ def op12(spark: SparkSession, directory: str) -> DataFrame:
     return ranking.rank(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
 
 
+_PHRASES = r"""
+WITH t AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ w AS MATERIALIZED (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM t),
+ s AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+ g AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+   FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) AS r(k))) GROUP BY ALL HAVING count(*) >= 30),
+ p AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+ c AS (SELECT p.lang, p.phrase, p.a, x.f AS l, y.f AS r, j, CAST(2000000::HUGEINT * p.a // (x.f + y.f) AS BIGINT) AS score
+   FROM (SELECT *, unnest(range(1, k)) AS j FROM p) p JOIN g x ON x.lang = p.lang AND x.phrase = array_to_string(w[1:j], ' ')
+   JOIN g y ON y.lang = p.lang AND y.phrase = array_to_string(w[j + 1:], ' ')),
+ b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ m AS (SELECT lang, inner_, max(a) AS longer FROM (SELECT lang, a, array_to_string(w[i:i + z - 1], ' ') AS inner_
+   FROM (SELECT *, unnest(range(1, k - z + 2)) AS i FROM p, range(2, 4) AS q(z) WHERE z < k)) GROUP BY ALL)
+SELECT b.lang, CAST(row_number() OVER o AS INTEGER) AS rank, b.phrase, a, l, r, n, score FROM b JOIN s USING (lang)
+ LEFT JOIN m ON m.lang = b.lang AND m.inner_ = b.phrase WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+ WINDOW o AS (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) QUALIFY row_number() OVER o <= 2000"""
+
+
+@query("op13_phrases", _PHRASES)
+def op13(spark: SparkSession, directory: str) -> DataFrame:
+    return phrases.collocations(table(spark, directory, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, directory: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository
