@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern import settings
 from quern.operators.joins import lookup
-from quern.operators.quantiles import exact_quantiles
+from quern.operators.quantiles import exact_quantiles, present
 
 
 def melt(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
@@ -26,15 +27,15 @@ def info(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles and max of each column."""
-    long = melt(df, columns, "double")
-    moments = long.groupBy("column_name").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(long, ["column_name"], "value", [0.25, 0.5, 0.75])
-    return moments.join(quartiles, "column_name").select(
-        "column_name", F.col("n").alias("count"), "mean", "std", "min",
+    """count, mean, sample deviation, min, quartiles and max of each column; NaN counts as missing."""
+    one = df.agg(*[f(present(c)).alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in (
+        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
+    moments = one.select(F.inline(F.array(*[F.struct(
+        F.lit(i).alias("place"), F.lit(c).alias("column_name"), *[F.col(f"{m}{i}").alias(m) for m in ("count", "mean", "std", "min", "max")])
+        for i, c in enumerate(columns)])))
+    quartiles = exact_quantiles(df, [], columns, [0.25, 0.5, 0.75])  # a row per column
+    return moments.join(F.broadcast(quartiles), F.col("place") == F.col("column"), "left").select(
+        "column_name", "count", "mean", "std", "min",
         F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max",
     )
 
@@ -65,14 +66,15 @@ def correlations(df: DataFrame, columns: list[str], target: str) -> DataFrame:
 
 
 def box_plot(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Quartiles, whiskers (last value within 1.5 IQR) and outlier count per group."""
-    box = exact_quantiles(df, keys, value, [0.25, 0.5, 0.75]).select(
+    """Quartiles, whiskers (last value within 1.5 IQR) and outlier count per group; NaN counts as missing."""
+    box = exact_quantiles(df, keys, [value], [0.25, 0.5, 0.75]).select(
         *[F.col(k).alias(f"_{k}") for k in keys],
         F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"),
-    )
+    ).checkpoint()
     iqr = F.col("q3") - F.col("q1")
     low, high = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    inside = F.col(value).between(low, high)
+    v = present(value)
+    inside = v.between(low, high)
     return lookup(df.select(*keys, value), box, [(k, f"_{k}") for k in keys]).groupBy(
         *keys, "q1", "median", "q3"
     ).agg(
@@ -88,14 +90,16 @@ def density(df: DataFrame, facets: list[str], value: str, points: int) -> DataFr
     Each grid point is one partial aggregate, so the rows are never multiplied by
     the grid.
     """
-    low, high = df.agg(F.min(value), F.max(value)).first()
+    settings.ensure_checkpoint_dir(df.sparkSession)
+    spread = df.groupBy(*[F.col(f).alias(f"_{f}") for f in facets]).agg(
+        F.count(value).alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high"),
+        (F.stddev_samp(value) * F.pow(F.count(value), F.lit(-0.2))).alias("_bw"),
+    ).checkpoint()
+    low, high = spread.agg(F.min("_low"), F.max("_high")).first()
     if low is None:
         low = high = 0.0
     grid = [low + (high - low) * i / (points - 1) for i in range(points)]
-    spread = df.groupBy(*[F.col(f).alias(f"_{f}") for f in facets]).agg(
-        F.count(value).alias("_n"),
-        (F.stddev_samp(value) * F.pow(F.count(value), F.lit(-0.2))).alias("_bw"),
-    )
+    spread = spread.drop("_low", "_high")
     z = lambda g: (F.lit(g) - F.col(value)) / F.col("_bw")
     sums = lookup(df.select(*facets, value), spread, [(f, f"_{f}") for f in facets]).groupBy(*facets, "_n", "_bw").agg(
         *[F.sum(F.exp(-0.5 * z(g) * z(g))).alias(f"g{i}") for i, g in enumerate(grid)]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators import curation, graph, regress, sequence, similarity
+from quern.operators import curation, graph, profile, regress, sequence, similarity
 from quern.operators import quantiles
 from quern.operators.ordered import Ordered, position, running, shift, total
 
@@ -53,16 +53,40 @@ def test_scan_without_keys(spark, both_ways):
     assert {r.i: (r.s, r.p) for r in rows} == {i: (sum(values[: i + 1]), values[i - 1] if i else None) for i in range(50)}
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 20])
 @pytest.mark.parametrize("probs", [[0.25, 0.5, 0.75], [0.0, 0.9, 1.0]])
-def test_quantiles(spark, both_ways, probs, accuracy, monkeypatch):
-    """With the low accuracy the large group takes the narrow-range path."""
-    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+def test_quantiles(spark, both_ways, probs):
     data = sequences(7, most=700, items=300)
-    for r in quantiles.exact_quantiles(frame(spark, data), ["k"], "v", probs).collect():
+    for r in quantiles.exact_quantiles(frame(spark, data), ["k"], ["v"], probs).collect():
         assert [r[f"q{i}"] for i in range(3)] == pytest.approx(list(np.quantile(data[r.k], probs)))
 
 
+def test_quantiles_of_doubles_of_all_sizes(spark, both_ways):
+    """Signs, neighbouring doubles, infinities of scale, ties and missing values, several columns at once."""
+    rng = np.random.default_rng(3)
+    wild = np.concatenate([rng.choice([-1, 1], 500) * 10.0 ** rng.uniform(-300, 300, 500), np.nextafter(1.0, 2.0) * np.ones(40), np.ones(41), [0.0, -0.0]])
+    near = 1e15 + rng.integers(0, 4000, len(wild)) / 8
+    rows = [(i % 3 if i % 50 else None, float(a), float(b) if i % 7 else None, float("nan") if i % 5 == 0 else 1.5) for i, (a, b) in enumerate(zip(wild, near))]
+    df = spark.createDataFrame(rows, "k int, a double, b double, c double")
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    got = {(r.k, r.column): r for r in quantiles.exact_quantiles(df, ["k"], ["a", "b", "c"], probs).collect()}
+    for k in range(3):
+        for c in range(3):
+            held = [r[c + 1] for r in rows if r[0] == k and r[c + 1] is not None and r[c + 1] == r[c + 1]]
+            assert got[k, c].n == len(held)
+            assert [got[k, c][f"q{i}"] for i in range(len(probs))] == pytest.approx(list(np.quantile(held, probs)), rel=1e-12)
+    assert len(got) == 9
+    assert quantiles.exact_quantiles(df.filter("a > 1e301"), ["k"], ["a", "b"], probs).count() == 0
+
+
+def test_nan_is_missing_in_profiles(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (1, 2.0, None), (1, float("nan"), None), (1, 4.0, None)], "k int, v double, none double")
+    v, none = profile.describe_numeric(df, ["v", "none"]).orderBy(F.desc("column_name")).collect()
+    assert tuple(v)[:3] == ("v", 3, pytest.approx(7 / 3)) and (v["min"], v["p50"], v["max"]) == (1.0, 2.0, 4.0)
+    assert tuple(none) == ("none", 0, *[None] * 7)
+    box = profile.box_plot(df, ["k"], "v").first()
+    assert (box.q1, box.median, box.q3, box.outliers) == (1.5, 2.0, 3.0, 0)
+
+
 @pytest.mark.parametrize("k", [1, 2, 3])
 def test_longest_with_distinct(spark, both_ways, k):
     data = sequences(11)
