@@ -7,6 +7,8 @@ a lost executor costs one round at most.  Edges meet vertex tables through
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,11 +24,11 @@ def vertices_of(edges: DataFrame) -> DataFrame:
 def shortest_paths(edges: DataFrame, source) -> DataFrame:
     """(v, dist): least weight from the source, which has a row itself; only improved vertices travel each round.
 
-    Weights must not be negative: a circle of such edges has no least weight.
+    Weights must not be negative: a circle of such edges has no least weight.  Edges without a weight are left out.
     """
     spark = edges.sparkSession
     settings.ensure_checkpoint_dir(spark)
-    edges = edges.groupBy("src", "dst").agg(F.min("w").alias("w")).checkpoint()
+    edges = edges.filter(F.col("w").isNotNull()).groupBy("src", "dst").agg(F.min("w").alias("w")).checkpoint()
     if (edges.agg(F.min("w")).first()[0] or 0) < 0:
         raise ValueError("an edge has a negative weight")
     kinds = dict(edges.dtypes)
@@ -57,26 +59,76 @@ def network_delay(edges: DataFrame, source, vertices: DataFrame | None = None) -
 def levels(edges: DataFrame, vertices: DataFrame, failed: DataFrame | None = None) -> DataFrame:
     """(v, level): a vertex comes one level after the last of its predecessors.
 
-    Vertices on or behind a cycle, and those behind a ``failed`` vertex, get no
-    row.  Each round removes the vertices whose predecessors are all placed.
+    Vertices on or behind a cycle, and those behind a ``failed`` vertex, get no row; edges to vertices that are not
+    listed play no part.  The state is one table of the vertices that still wait, with the number of
+    predecessors they wait for.  A round places those that wait for none, writes them as one file set, and only edges that leave
+    them are touched.  Long thin graphs would take a round per vertex, so once the edges that are left are no more than a
+    task may hold (``quern.block.rows``), one task goes through the rest.  Plans do not grow with the number of rounds.
     """
-    settings.ensure_checkpoint_dir(edges.sparkSession)
-    edges = edges.select("src", "dst").distinct().checkpoint()
-    open_ = vertices.select("v").distinct().join(
-        edges.groupBy(F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("need")), "v", "left"
-    ).withColumn("need", F.coalesce("need", F.lit(0))).checkpoint()
-    placed, level = None, 0
-    while size := open_.filter("need = 0").count():
-        ready = open_.filter("need = 0").select("v")
-        part = ready.withColumn("level", F.lit(level).cast("bigint"))
-        placed = part if placed is None else placed.unionByName(part)
-        pushing = ready if failed is None else ready.join(failed.select("v"), "v", "left_anti")
-        met = lookup(edges, pushing.withColumnRenamed("v", "_v"), [("src", "_v")], dim_rows=size).groupBy(
-            F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("met"))
-        open_ = open_.filter("need > 0").join(met, "v", "left").select(
-            "v", (F.col("need") - F.coalesce("met", F.lit(0))).alias("need")).checkpoint()
+    spark = edges.sparkSession
+    settings.ensure_checkpoint_dir(spark)
+    cap = settings.limit(spark, settings.BLOCK_ROWS)
+    kind = vertices.schema["v"].dataType.simpleString()
+    edges = edges.select(F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst")).distinct().checkpoint()
+    stops = vertices.select("v", F.lit(False).alias("stops")).limit(0) if failed is None else failed.select("v").distinct().withColumn("stops", F.lit(True))
+    waiting = vertices.select("v").filter(F.col("v").isNotNull()).distinct().join(
+        edges.groupBy(F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("need")), "v", "left").join(stops, "v", "left").select(
+        "v", F.coalesce("need", F.lit(0).cast("bigint")).alias("need"), F.coalesce("stops", F.lit(False)).alias("stops")).checkpoint()
+    path, level, left = settings.scratch(spark, "levels"), 0, edges.count()
+    while left > cap:
+        ready, waiting = waiting.filter("need = 0"), waiting.filter("need > 0")
+        ready.select("v", F.lit(level).cast("bigint").alias("level")).write.mode("append").parquet(path)
+        pushing = ready.filter("NOT stops").select(F.col("v").alias("_v")).checkpoint()
+        size = pushing.count()
+        if not size:
+            waiting = waiting.limit(0)
+            break
+        leaving = lookup(edges, pushing, [("src", "_v")], dim_rows=size if kind != "string" else None)
+        met = leaving.groupBy(F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("met")).checkpoint()
+        left -= met.agg(F.sum("met")).first()[0] or 0
         level += 1
-    return open_.select("v", F.lit(0).cast("bigint").alias("level")).limit(0) if placed is None else placed
+        waiting = waiting.join(met, "v", "left").select(
+            "v", (F.col("need") - F.coalesce("met", F.lit(0))).alias("need"), "stops").checkpoint()
+    if level:
+        edges = edges.join(waiting.select(F.col("v").alias("dst")), "dst", "left_semi")
+    rest = _rest(edges, waiting, level, kind)
+    return rest.unionByName(spark.read.schema(f"v {kind}, level bigint").parquet(path)) if level else rest
+
+
+def _rest(edges: DataFrame, waiting: DataFrame, level: int, kind: str) -> DataFrame:
+    """Levels from ``level`` on of a graph that fits into one task: level by level over edges sorted by their source."""
+
+    def place(table: pa.Table) -> pa.Table:
+        names = pa.chunked_array([*table["v"].chunks, *table["dst"].chunks]).combine_chunks().dictionary_encode()
+        numbers = names.indices.fill_null(-1).to_numpy()
+        v, dst = np.split(numbers, 2)
+        is_edge = dst >= 0
+        n = len(names.dictionary)
+        need, stops, listed = np.zeros(n, np.int64), np.zeros(n, bool), np.zeros(n, bool)
+        own = ~is_edge
+        need[v[own]] = table["need"].to_numpy()[own]
+        stops[v[own]] = table["stops"].to_numpy()[own]
+        listed[v[own]] = True
+        order = np.argsort(v[is_edge], kind="stable")
+        targets = dst[is_edge][order]
+        first = np.searchsorted(v[is_edge][order], np.arange(n + 1))
+        placed, now, ready = np.full(n, -1, np.int64), level, np.flatnonzero(listed & (need == 0))
+        while len(ready):
+            placed[ready] = now
+            pushing = ready[~stops[ready]]
+            sizes = first[pushing + 1] - first[pushing]
+            starts = np.repeat(first[pushing] - np.cumsum(sizes) + sizes, sizes)
+            met, times = np.unique(targets[starts + np.arange(sizes.sum())], return_counts=True)
+            need[met] -= times
+            ready = met[(need[met] == 0) & listed[met]]
+            now += 1
+        done = np.flatnonzero(placed >= 0)
+        return pa.table({"v": names.dictionary.take(pa.array(done)), "level": placed[done]})
+
+    none = F.lit(None)
+    rows = waiting.select("v", none.cast(kind).alias("dst"), "need", "stops").unionByName(
+        edges.select(F.col("src").alias("v"), "dst", F.lit(0).cast("bigint").alias("need"), F.lit(False).alias("stops")))
+    return rows.groupBy().applyInArrow(place, f"v {kind}, level bigint")
 
 
 def is_acyclic(edges: DataFrame) -> DataFrame:
