@@ -12,7 +12,8 @@ SELECT a.event_id, a.user_id, count(*) AS n FROM events a JOIN events b ON a.use
 def streaming_trailing_count(t):
     events = trailing.stream_parquet(t.spark, t.directory, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     late = trailing.disorder(t.spark, t.directory, "events", "ts")
-    told = trailing.replay(trailing.trailing_counts(events, "user_id", "ts", "event_id", late=late), "trailing")
+    hot = trailing.busy_keys(t.spark, t.directory, "events", "user_id")
+    told = trailing.replay(trailing.trailing_counts(events, "user_id", "ts", "event_id", late=late, hot=hot), "trailing")
     return told.groupBy("event_id", "user_id").agg(F.max("n").alias("n")).select("user_id", "event_id", "n")
 
 

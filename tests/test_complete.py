@@ -153,3 +153,47 @@ def test_head_start_with_a_stock(spark, both_ways):
     df = spark.createDataFrame([(1, i, x, 1) for i, x in enumerate([1, 1, 1, 50])], "k int, i int, x int, e int")
     assert [r.extra for r in sequence.head_start(df, ["k"], ["i"], "x", "x", 1, "e", 1).collect()] == [51]
     assert [r.extra for r in sequence.head_start(df, ["k"], ["i"], "x", "x", 1, "e", 9).collect()] == [47]
+
+
+def test_levels_of_a_long_chain(spark):
+    n = 2000
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(0, n // 2), (n + 5, n + 6), (n + 6, n + 5)], "src bigint, dst bigint")
+    vertices = spark.createDataFrame([(i,) for i in range(n + 1)] + [(n + 5,), (n + 6,), (n + 9,)], "v bigint")
+    got = {r.v: r.level for r in graph.levels(edges, vertices).collect()}
+    assert got == {i: i for i in range(n + 1)} | {n + 9: 0}
+
+
+def test_levels_in_rounds_and_at_once(spark, both_ways):
+    """The two ways meet in the middle: rounds while there are many edges, one task for the rest."""
+    rng = random.Random(5)
+    names = [f"t{i:02d}" for i in range(40)]
+    edges = {(names[a], names[b]) for a, b in (sorted(rng.sample(range(40), 2)) for _ in range(60))} | {("missing", "t03"), ("t39", "t38")}
+    failed = ["t05"]
+    want = {}
+    for _ in names:
+        for v in names:
+            before = [a for a, b in edges if b == v]
+            if v not in want and all(a in want and a not in failed for a in before):
+                want[v] = max((want[a] + 1 for a in before), default=0)
+    got = graph.levels(spark.createDataFrame(sorted(edges), "src string, dst string"), spark.createDataFrame([(v,) for v in names], "v string"),
+                       spark.createDataFrame([(v,) for v in failed], "v string"))
+    assert {r.v: r.level for r in got.collect()} == want and len(want) < 40
+
+
+def test_edges_without_a_weight_are_left_out(spark):
+    edges = spark.createDataFrame([(1, 2, None), (1, 3, 2), (3, 2, 5)], "src int, dst int, w int")
+    assert {r.v: r.dist for r in graph.shortest_paths(edges, 1).collect()} == {1: 0, 3: 2, 2: 7}
+    assert {r.v: r.dist for r in graph.shortest_paths(edges.limit(1), 1).collect()} == {1: 0}
+
+
+def test_busy_keys_are_cut_by_time(spark):
+    path = settings.scratch(spark, "busy")
+    rng = random.Random(8)
+    rows = [(i, i % 2, 1_000_000 + rng.randrange(40_000)) for i in range(300)]
+    for part in range(3):
+        spark.createDataFrame(rows[part::3], "id bigint, k bigint, ms bigint").select(
+            "id", "k", F.timestamp_millis("ms").alias("ts")).coalesce(1).write.parquet(f"{path}/{part}")
+    stream = spark.readStream.schema(spark.read.parquet(f"{path}/0").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+    out = trailing.replay(trailing.trailing_counts(stream, "k", "ts", "id", hot=[0], bucket=10_000_000), "busy")
+    got = {r.id: r.n for r in out.groupBy("id").agg(F.max("n").alias("n")).collect()}
+    assert got == {i: sum(l == k and m - 3000 <= o and (o, j) <= (m, i) for j, l, o in rows) for i, k, m in rows}
