@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import expressions as X
 from quern.functions import text as T
+from quern.operators import sketches
 from quern.operators.ordered import Ordered, position, total
 from quern.plans.joins import VOCABULARY_SQL, vocabulary
 from quern.plans.registry import query
@@ -107,11 +108,25 @@ def distinct_per_day(t):
         day("d").alias("dt"), "users")
 
 
-@query("e10_approx_distinct_per_day")
+_DAYS = 7
+
+
+@query("e10_approx_distinct_per_day", """
+WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-30')
+SELECT strftime(d, '%Y-%m-%d') AS dt, true AS day_holds, true AS week_holds FROM d""")
 def approx_distinct_per_day(t):
-    """Sketch version: one small state per day instead of a shuffle of all users."""
-    return _active_month(t).groupBy(F.to_date("ts").alias("d")).agg(
-        F.approx_count_distinct("user_id", 0.02).alias("users")).select(day("d").alias("dt"), "users")
+    """Stored sketches: one per day, united over the seven days up to each; whether both lie near enough to the exact counts."""
+    users = _active_month(t).select(F.to_date("ts").alias("d"), "user_id")
+    held = sketches.distinct_sketches(users, ["d"], "user_id")
+    after = F.explode(F.sequence(F.col("d"), F.date_add("d", _DAYS - 1))).alias("to")
+    weeks = sketches.united(held.select("sketch", after), ["to"])
+    exact = users.groupBy("d").agg(F.count_distinct("user_id").alias("day_exact"))
+    exact_weeks = users.distinct().select("user_id", after).groupBy("to").agg(F.count_distinct("user_id").alias("week_exact"))
+    both = held.select("d", F.hll_sketch_estimate("sketch").alias("day")).join(exact, "d").join(
+        weeks.select(F.col("to").alias("d"), F.hll_sketch_estimate("sketch").alias("week")), "d").join(
+        exact_weeks.withColumnRenamed("to", "d"), "d")
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.ceil(F.col(b) * sketches.BOUND)
+    return both.select(day("d").alias("dt"), near("day", "day_exact").alias("day_holds"), near("week", "week_exact").alias("week_holds"))
 
 
 @query("e11_sum_of_product", "SELECT round(sum(l_quantity * l_extendedprice), 2) AS total FROM lineitem")

@@ -164,7 +164,7 @@ def vocabulary(t):
 @query("d12_one_letter_neighbours", f"""
 WITH {VOCABULARY_SQL.replace("vocab AS (", "vocab AS MATERIALIZED (")}, m AS MATERIALIZED (SELECT w, unnest(list_transform(range(1, length(w) + 1),
   lambda i: substring(w, 1, CAST(i AS INTEGER) - 1) || '_' || substring(w, CAST(i AS INTEGER) + 1))) AS mask FROM vocab)
-SELECT x.w AS a, y.w AS b FROM m x JOIN m y ON x.mask = y.mask AND x.w < y.w""")
+SELECT l[i] AS a, unnest(l[i + 1:]) AS b FROM (SELECT l, unnest(range(1, len(l))) AS i FROM (SELECT list(w ORDER BY w) AS l FROM m GROUP BY mask))""")
 def one_letter_neighbours(t):
     return joins.one_letter_neighbours(vocabulary(t), "word")
 
