@@ -80,15 +80,16 @@ class Ordered:
     ``order`` must be unique within a key, so that results do not depend on how
     equal rows happen to be placed.  The rows are read once to find large keys and
     again to scan them; ``settle`` writes them to the checkpoint folder first, for
-    rows that took joins or aggregations to make.
+    rows that took joins or aggregations to make.  ``within`` is a scan over the same rows by the same
+    or fewer keys: if it has no large key, this one has none either and need not count.
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str], settle: bool = False):
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], settle: bool = False, within: Ordered | None = None):
         self.keys, self.order = list(keys), list(order)
         if settle:
             settings.ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint()
-        hot, cap = hot_keys(df, self.keys)
+        hot, cap = (None, 0) if within is not None and not within.split else hot_keys(df, self.keys)
         self.split = hot is not None
         self.df = self._cut(df, hot, cap) if self.split else df.withColumn(BLOCK, F.lit(0))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern import settings
 from quern.operators.ordered import Ordered, null_safe, position, running, runs, shift, total
 
 LONG = "bigint"
@@ -78,8 +79,9 @@ def circular_sum(df: DataFrame, keys: list[str], order: list[str], value: str, k
     """
     if k == 0:
         return df.withColumn("circular", F.lit(0).cast(LONG))
+    settings.ensure_checkpoint_dir(df.sparkSession)
     rows = Ordered(df, keys, order).scan(
-        _i=position(), _upto=running("sum", value), _n=total("sum", F.lit(1).cast(LONG)), _whole=total("sum", value)).rows()
+        _i=position(), _upto=running("sum", value), _n=total("sum", F.lit(1).cast(LONG)), _whole=total("sum", value)).rows().checkpoint()
     far = rows.select(*[F.col(c).alias(f"_far_{c}") for c in keys], F.col("_i").alias("_far_i"), F.col("_upto").alias("_far_upto"))
     same_key = null_safe([F.col(c) for c in keys], [F.col(f"_far_{c}") for c in keys])
     # forward: (i, i + k]; backward: [i - |k|, i - 1], that is (i - |k| - 1, i - 1]
@@ -111,7 +113,8 @@ def shortest_run_reaching(df: DataFrame, keys: list[str], order: list[str], valu
     For each prefix sum P[r] the largest l with P[l] <= P[r] - target is an as-of
     lookup, done as one scan over prefix sums and questions in value order.
     """
-    rows = prefix_sums(df.select(*keys, *order, value), keys, order, value)
+    settings.ensure_checkpoint_dir(df.sparkSession)
+    rows = prefix_sums(df.select(*keys, *order, value), keys, order, value).checkpoint()
     points = rows.select(*keys, F.col("upto").alias("at"), F.lit(0).alias("kind"), "i")
     zero = rows.select(*keys).distinct().select(
         *keys, F.lit(0).cast(LONG).alias("at"), F.lit(0).alias("kind"), F.lit(0).cast(LONG).alias("i"))
@@ -124,9 +127,10 @@ def shortest_run_reaching(df: DataFrame, keys: list[str], order: list[str], valu
 
 def _last_same(df: DataFrame, keys: list[str], order: list[str], item: str) -> Ordered:
     """Place ``i`` of each row and ``prev``, the place of the same item before it (else 0)."""
-    placed = Ordered(df.select(*keys, *order, item), keys, order).scan(i=position()).rows()
-    again = Ordered(placed.drop(*order), [*keys, item], ["i"]).scan(prev=shift("i")).rows()
-    return Ordered(again.withColumn("prev", F.coalesce("prev", F.lit(0).cast(LONG))), keys, ["i"])
+    first = Ordered(df.select(*keys, *order, item), keys, order)
+    placed = first.scan(i=position()).rows()
+    again = Ordered(placed.drop(*order), [*keys, item], ["i"], within=first).scan(prev=shift("i")).rows()
+    return Ordered(again.withColumn("prev", F.coalesce("prev", F.lit(0).cast(LONG))), keys, ["i"], settle=first.split, within=first)
 
 
 def longest_without_repeat(df: DataFrame, keys: list[str], order: list[str], item: str) -> DataFrame:
