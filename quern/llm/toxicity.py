@@ -4,8 +4,12 @@ Writers hide words behind look-alike signs ("1d10t"), separators ("s.t.u.p.i.d",
 and repeated letters ("looooser").  A noisy channel undoes that: each sign of a suspicious
 stretch may stand for some letters, for itself as a word boundary, or for nothing, and
 Viterbi's algorithm finds the likeliest reading of this lattice under a letter-bigram
-model counted over the whole corpus.  Stretches without anything suspicious have one
-reading only and are left as they are.
+model counted over the whole corpus.
+
+Two kinds of stretches go through it.  Some look disguised: signs beside letters, a letter three times, single letters with
+separators.  Others could be ordinary text ("iddiot", "id-iot", "stu pid"): of these all are read in which one of
+the words that the classifier has found to be toxic would stand if separators and repetitions were taken away, and the
+reading counts if it has such a word.
 
 The restored text is scored by a logistic regression over its words and word beginnings
 (a disguised or inflected word keeps its beginning).  Features that do not set the classes
@@ -19,6 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -154,29 +159,112 @@ def may_be_suspicious(texts: pa.Array) -> np.ndarray:
     return found
 
 
+#: letters of the shortest word that is looked for between separators
+SHORTEST = 4
+BREAK = 10
+
+
+def _alike() -> np.ndarray:
+    """Per byte: a letter (signs as the first one they stand for, l as i), 0 for a separator, a break for all else."""
+    table = np.full(256, BREAK, np.uint8)
+    table[97:123] = np.arange(97, 123)
+    for sign, letters in LOOKS_LIKE.items():
+        table[ord(sign)] = ord(letters[0])
+    table[ord("l")] = ord("i")
+    table[[ord(c) for c in SEPARATORS]] = 0
+    return table
+
+
+ALIKE = _alike()
+#: bytes that belong to the word they stand beside
+BESIDE = np.isin(np.arange(256), [*range(97, 123), *range(48, 58), *b"@$", *range(128, 256)])
+
+
+def squeezed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(letters, places): what is left of lower-case bytes without separators and repetitions."""
+    alike = ALIKE[data]
+    places = np.flatnonzero(alike)
+    letters = alike[places]
+    new = np.ones(len(letters), bool)
+    new[1:] = letters[1:] != letters[:-1]
+    return letters[new], places[new]
+
+
+class Hidden:
+    """Stretches of a text in which a word may be hidden between separators and repeated letters."""
+
+    def __init__(self, words: list[str]):
+        self.words, self.automaton = set(words), ahocorasick.Automaton()
+        for word in words:
+            letters = squeezed(np.frombuffer(word.encode(), np.uint8))[0]
+            if len(letters) >= SHORTEST and BREAK not in letters:
+                self.automaton.add_word(letters.tobytes().decode(), len(letters))
+        if len(self.automaton):
+            self.automaton.make_automaton()
+
+    def stretches(self, data: np.ndarray) -> list[tuple[int, int]]:
+        """(start, end) of whole words around every place where one of the words may stand, but for those that stand there plainly."""
+        if not len(self.automaton) or not len(data):
+            return []
+        letters, places = squeezed(data)
+        found: list[tuple[int, int]] = []
+        for last, size in self.automaton.iter(letters.tobytes().decode()):
+            start, end = int(places[last - size + 1]), int(places[last]) + 1
+            while start and BESIDE[data[start - 1]]:
+                start -= 1
+            while end < len(data) and BESIDE[data[end]]:
+                end += 1
+            if found and start < found[-1][1]:
+                start, end = min(start, found[-1][0]), max(end, found.pop()[1])
+            found.append((start, end))
+        held = ((a, b, data[a:b].tobytes()) for a, b in found)
+        return [(a, b) for a, b, text in held if text.isascii() and text.decode() not in self.words]
+
+
 class Decoder:
     """Restores texts; remembers what stretches were read as."""
 
-    def __init__(self, model: np.ndarray):
-        self.model, self.known = model, {}
+    def __init__(self, model: np.ndarray, words: list[str] = ()):
+        self.model, self.known, self.hidden = model, {}, Hidden(words)
 
-    def restore(self, texts: pa.Array) -> list[str]:
-        out = [t.decode().lower() for t in binaries(texts)]
-        spans = {int(i): list(SUSPICIOUS.finditer(out[i])) for i in np.flatnonzero(may_be_suspicious(texts))}
-        new = {m[0] for found in spans.values() for m in found}
+    def learn(self, new: set[str]) -> None:
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {}
         ordered = sorted(new - self.known.keys())
         for at in range(0, len(ordered), 4096):
             part = ordered[at:at + 4096]
             self.known.update(zip(part, readings(part, self.model)))
+
+    def reveal(self, texts: list[str]) -> list[str]:
+        """The texts with words in the place of stretches that read as one of the words looked for."""
+        joined = [t.encode() for t in texts]
+        data = np.frombuffer(b"\n".join(joined), np.uint8)
+        spans = [(a, b, data[a:b].tobytes().decode()) for a, b in self.hidden.stretches(data)]
+        self.learn({text for _, _, text in spans})
+        starts = np.concatenate(([0], np.cumsum([len(j) + 1 for j in joined])))
+        cut: dict[int, list] = {}
+        for a, b, text in spans:
+            if not self.hidden.words.isdisjoint(WORDS.findall(self.known[text])):
+                cut.setdefault(int(np.searchsorted(starts, a, "right")) - 1, []).append((a, b, self.known[text]))
+        for i, found in cut.items():
+            parts, at = [], 0
+            for a, b, reading in found:
+                parts += [joined[i][at:a - starts[i]], reading.encode()]
+                at = b - starts[i]
+            texts[i] = b"".join([*parts, joined[i][at:]]).decode()
+        return texts
+
+    def restore(self, texts: pa.Array) -> list[str]:
+        out = [t.decode().lower() for t in binaries(texts)]
+        spans = {int(i): list(SUSPICIOUS.finditer(out[i])) for i in np.flatnonzero(may_be_suspicious(texts))}
+        self.learn({m[0] for found in spans.values() for m in found})
         for i, found in spans.items():
             parts, at = [], 0
             for m in found:
                 parts += [out[i][at:m.start()], self.known[m[0]]]
                 at = m.end()
             out[i] = "".join([*parts, out[i][at:]])
-        return out
+        return self.reveal(out)
 
 
 def restored(text: Column, model: np.ndarray) -> Column:
@@ -237,18 +325,18 @@ def fit(rows: list[list[int]], y: np.ndarray, width: int, ridge: float = 0.05, s
 
 
 class Scorer:
-    """What scoring needs: the letter model, the features' numbers, the weights."""
+    """What scoring needs: the letter model, the features' numbers, the weights, the words that are looked for."""
 
-    def __init__(self, model: np.ndarray, wanted: dict[int, int], weights: np.ndarray):
-        self.model, self.wanted, self.weights = model, wanted, weights
+    def __init__(self, model: np.ndarray, wanted: dict[int, int], weights: np.ndarray, words: list[str] = ()):
+        self.model, self.wanted, self.weights, self.words = model, wanted, weights, words
 
     def score(self, text: Column) -> Column:
         """Probability that the text is toxic, between 0 and 1."""
-        model, wanted, weights = self.model, self.wanted, self.weights
+        model, wanted, weights, words = self.model, self.wanted, self.weights, self.words
 
         @arrow_udf("double")
         def of_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            decoder, known = Decoder(model), {}
+            decoder, known = Decoder(model, words), {}
             for batch in batches:
                 found = [f for part in pieces_of(batch, SLICE) for f in present(decoder.restore(part), known, wanted)]
                 z = np.array([weights[f].sum() for f in found]) + weights[-1]
@@ -316,7 +404,17 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, ro
 
     sample = drawn.select(chosen("text").alias("found"), "toxic").collect()  # about `rows` short lists
     weights = fit([r["found"] for r in sample], np.array([r["toxic"] for r in sample], float), len(wanted))
-    return Scorer(model, wanted, weights)
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words of each text that are features themselves."""
+        for batch in batches:
+            found = [w for t in batch.column(0).to_pylist() for w in set(WORDS.findall(t))
+                     if w.isascii() and zlib.crc32(f"={w}".encode()) % BUCKETS in wanted]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["word"])
+
+    # at most as many as fit into `rows` texts; a word that only shares the bucket of a feature is seldom in three of them
+    words = drawn.filter("toxic = 1").select("text").mapInArrow(named, "word string").groupBy("word").count().filter("count >= 3")
+    return Scorer(model, wanted, weights, sorted(r["word"] for r in words.collect()))
 
 
 def held_out(modulus: int, remainder: int) -> Column:
@@ -339,6 +437,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows that are scored as toxic; all columns stay."""
+    """``docs`` without the rows that are scored as toxic; all columns stay.
+
+    Null and empty texts are scored as texts without features; null ids are kept or not by their text, repeated rows together;
+    texts are read whole; an empty table stays empty.
+    """
     scorer = train(docs, labels, held_out(4, 2))
     return docs.filter(scorer.score(text_column(docs)) < threshold)
