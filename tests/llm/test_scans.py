@@ -76,6 +76,19 @@ def test_redaction_keeps_rows_and_columns(hard):
     assert new.columns == hard.columns and sorted(texts_of(new), key=str) == sorted(texts_of(hard), key=str)
 
 
+def test_many_secrets_in_one_text(spark):
+    rng = random.Random(4)
+    parts, want = [], []
+    for i in range(6000):
+        hidden = rng.choice([f"token=abcdef{i}", "AKIA" + "ABCD1234" * 2, "0123456789abcdef" * 2, f"secret: AKIA{'ZX12' * 4}"])
+        word = prose(rng, 1)
+        parts += [word, hidden]
+        want += [word, "[SECRET]"]
+    docs = table(spark, [(1, " ".join(parts)), (2, None), (3, "")])
+    new = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert new[1] == " ".join(want) and new[2] is None and new[3] == ""
+
+
 # licenses
 
 def test_license_phrases_and_notices(spark, hard, empty):
@@ -98,6 +111,19 @@ def test_license_phrases_and_notices(spark, hard, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_notices_side_by_side_are_all_found(spark):
+    """Whatever stands around it, a notice whose words stand consecutively has its label."""
+    rng = random.Random(12)
+    pieces_ = [t for _, t in licenses.PHRASES] + [t for _, t in licenses.NOTICES] + ["gnu", "the license", "license", "x y", "of the gnu"]
+    texts = ["gnu lesser general public license gnu general public license", "gnu affero general public license general public license"]
+    texts += [" ".join(rng.choice(pieces_) for _ in range(rng.randint(1, 7))) for _ in range(250)]
+    found = {r["doc_id"]: set(r["labels"].split(",")) for r in licenses.scan(table(spark, list(enumerate(texts)))).collect()}
+    assert found[0] == {"gpl", "lgpl"} and found[1] == {"gpl", "agpl"}
+    for i, text in enumerate(texts):
+        want = {label for label, t in licenses.PHRASES + licenses.NOTICES if f" {t} " in f" {text} "}
+        assert want <= found[i]
+
+
 # shards
 
 def test_bounded_loads(spark, hard, empty):
@@ -178,7 +204,8 @@ def test_toxicity(spark, hard, empty):
             words[3:3] = [rng.choice(bad)]
             words[20:20] = [rng.choice(bad)]
         rows.append((i, " ".join(words)))
-    hidden = ["you 1d10t", "a m0r0n here", "$tup1d", "s t u p i d", "s.t.u.p.i.d", "stuuuupid", "1d!0t!!!"]
+    hidden = ["you 1d10t", "a m0r0n here", "$tup1d", "s t u p i d", "s.t.u.p.i.d", "stuuuupid", "1d!0t!!!",
+              "iddiot and sttupid", "id-iot and st.upid", "id iot and stu pid", "mo_ron", "i d.i-o t", "Id_IoT"]
     rows += [(1000 + i, f"{prose(rng, 20)} {t} {prose(rng, 20)}") for i, t in enumerate(hidden)] + [(2000, prose(rng, 30))]
     docs = table(spark, rows)
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
@@ -194,6 +221,46 @@ def test_toxicity(spark, hard, empty):
     assert toxicity.score_documents(empty, labels).count() == 0
 
 
+def test_the_lattice_is_searched_whole():
+    """Viterbi against all readings of short stretches."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    counts = rng.integers(1, 50, (toxicity.STATES, toxicity.STATES)) ** 2
+    model = np.log(counts / counts.sum(1, keepdims=True))
+
+    def best(stretch):
+        paths = [(0.0, 0, "")]
+        for ch in stretch:
+            letters = ch if ch.isalpha() else toxicity.LOOKS_LIKE.get(ch, "")
+            step = []
+            for score, state, text in paths:
+                for letter in letters:
+                    to = ord(letter) - 96
+                    step.append((score + model[state, to] + (0.0 if ch.isalpha() else toxicity.AS_LETTER), to, text + letter))
+                    if to == state:
+                        step.append((score + toxicity.REPEATED, state, text))
+                if not ch.isalpha():
+                    step.append((score + (toxicity.DROPPED_SEPARATOR if ch in toxicity.SEPARATORS else toxicity.DROPPED), state, text))
+                if ch in toxicity.SEPARATORS:
+                    step.append((score + model[state, 0] + toxicity.BOUNDARY, 0, text + " "))
+            paths = step
+        return max(paths, key=lambda p: p[0] + model[p[1], 0])[2]
+
+    stretches = ["".join(rng.choice(list("abil01|. -_"), rng.integers(1, 7))) for _ in range(300)]
+    assert toxicity.readings(stretches, model) == [best(s) for s in stretches]
+
+
+def test_hidden_words_are_looked_for_in_whole_words_only():
+    import numpy as np
+
+    hidden = toxicity.Hidden(["idiot", "stupid", "abc"])
+    held = lambda text: [text.encode()[a:b].decode() for a, b in hidden.stretches(np.frombuffer(text.encode(), np.uint8))]
+    assert held("an id iot, xid-iot 1diott") == ["id iot", "xid-iot", "1diott"]
+    assert held("idiot stupid") == [] and held("a b c") == [] and held("") == [] and held("id\niot id.,iot") == []
+    assert held("çid iot st.u--pidd é") == ["st.u--pidd"] and held("idi" + "o" * 100_000 + "t") == ["idi" + "o" * 100_000 + "t"]
+
+
 # language model
 
 def smoothed(docs):
