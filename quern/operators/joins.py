@@ -13,10 +13,12 @@ from quern.operators.ordered import hot_keys, null_safe
 
 
 def _bytes(field: T.StructField) -> Column:
-    """Size of a value: texts and arrays are measured, the rest is small and fixed."""
+    """Size of a value: texts, lists and nested values are measured, the rest is small and fixed."""
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(column), F.lit(0)) + 24
+    if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, (T.NumericType, T.BooleanType, T.DatetimeType)):
+        return F.coalesce(F.array_size(column) * 8, F.lit(0)) + 24
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
         return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 24
     return F.lit(16)
