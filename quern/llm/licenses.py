@@ -4,8 +4,8 @@ Phrases and notices are templates: short texts with a label.  All rolling k-word
 documents are joined to the places of the same hashes in the templates.  A template that occurs
 in a document puts all its hits on one diagonal (place in the document minus place in the
 template), so every hit votes for its diagonal; words that were put in or left out move the rest of an
-occurrence to a neighbouring diagonal, and such neighbours are merged.  A merged group is an occurrence
-if enough of the template's hashes are there within about its length.
+occurrence to a neighbouring diagonal, and such neighbours are merged.  A diagonal by itself or a merged group is an
+occurrence if enough of the template's hashes are there within about its length.
 
 Each document also sends one line of its own through the join, so that its word count, its
 hits and the fact that it has none meet in one aggregation, and the text is read once.
@@ -95,21 +95,25 @@ def scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, notices: lis
     order = W.partitionBy(*key, "template").orderBy("diagonal")
     far = F.col("diagonal") - F.lag("diagonal").over(order) > NEIGHBOURS
     group = F.sum(F.when(F.col("base") | F.coalesce(far, F.lit(True)), 1).otherwise(0)).over(order)
+    enough = F.when(F.col("votes") < SHORT, 1.0).otherwise(COVERAGE)
+    occurs = lambda share: ~F.col("base") & (share >= enough) & (F.col("end") - F.col("begin") <= STRETCH * F.col("m"))
+    own = F.size("ats") / F.col("votes")
+    # a notice on one diagonal counts whatever lies on the next ones, such as a part of another notice
+    alone = F.max(F.when(occurs(own), own)).alias("alone")
     merged = votes.withColumn("group", group).groupBy(*key, "template", "label", "base", "votes", "m", "group").agg(
-        F.max("n").alias("n"), F.min("begin").alias("begin"), F.max("end").alias("end"),
+        F.max("n").alias("n"), F.min("begin").alias("begin"), F.max("end").alias("end"), alone,
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("got"))
     share = F.col("got") / F.col("votes")
     whole = F.col("base") & (F.col("got") == F.col("votes"))
-    enough = F.when(F.col("votes") < SHORT, 1.0).otherwise(COVERAGE)
-    notice = ~F.col("base") & (share >= enough) & (F.col("end") - F.col("begin") <= STRETCH * F.col("m"))
+    share = F.when(whole | occurs(share), F.least(share, F.lit(1.0))).otherwise(F.col("alone"))
+    notice = share.isNotNull()
     counted = merged.groupBy(*key).agg(
         F.max(F.when(F.col("template").isNull(), F.col("n"))).alias("copies"),
         F.count_if(whole).alias("n_base"),
         F.min(F.when(whole, F.col("begin"))).cast("long").alias("first_word"),
         F.max(F.when(whole, F.col("begin"))).cast("long").alias("last_word"),
         F.collect_set(F.when(whole, F.col("label"))).alias("base_labels"),
-        F.collect_set(F.when(whole | notice, F.col("label"))).alias("labels"),
-        F.max(F.when(whole | notice, F.least(share, F.lit(1.0)))).alias("score"))
+        F.collect_set(F.when(notice, F.col("label"))).alias("labels"), F.max(share).alias("score"))
     joined = lambda c: F.array_join(F.array_sort(c), ",").alias(c)
     return repeated(counted, "copies", "k").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", joined("base_labels"), joined("labels"),

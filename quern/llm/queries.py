@@ -90,13 +90,16 @@ WITH t(template, label, base, votes, m, place, a, b) AS (VALUES {_license_pairs(
    FROM g JOIN t USING (a, b) GROUP BY ALL),
  f AS (SELECT *, base OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.NEIGHBOURS}, true) AS first FROM v),
  n AS (SELECT *, count_if(first) OVER (PARTITION BY r, template ORDER BY diagonal) AS grp FROM f),
- o AS (SELECT r, template, label, base, votes, m, grp, min(low) AS low, max(high) AS high, len(list_distinct(flatten(list(places)))) AS got FROM n GROUP BY ALL),
+ o AS (SELECT r, template, label, base, votes, m, grp, min(low) AS low, max(high) AS high, len(list_distinct(flatten(list(places)))) AS got,
+   max(len(list_distinct(places)) / votes) FILTER (WHERE NOT base AND high - low <= {licenses.STRETCH} * m
+     AND len(list_distinct(places)) / votes >= CASE WHEN votes < {licenses.SHORT} THEN 1.0 ELSE {licenses.COVERAGE} END) AS alone FROM n GROUP BY ALL),
  k AS (SELECT *, CAST(got AS DOUBLE) / votes AS share, base AND got = votes AS whole FROM o),
- h AS (SELECT *, whole OR (NOT base AND share >= CASE WHEN votes < {licenses.SHORT} THEN 1.0 ELSE {licenses.COVERAGE} END AND high - low <= {licenses.STRETCH} * m) AS found FROM k)
+ f2 AS (SELECT *, whole OR (NOT base AND share >= CASE WHEN votes < {licenses.SHORT} THEN 1.0 ELSE {licenses.COVERAGE} END AND high - low <= {licenses.STRETCH} * m) AS most FROM k),
+ h AS (SELECT *, CASE WHEN most THEN least(share, 1.0) ELSE alone END AS part FROM f2)
 SELECT doc_id, len(w) AS n_words, count(*) FILTER (WHERE whole) AS n_base, min(low) FILTER (WHERE whole) AS first_word, max(low) FILTER (WHERE whole) AS last_word,
  coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE whole))), ','), '') AS base_labels,
- coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE found))), ','), '') AS labels,
- coalesce(max(least(share, 1.0)) FILTER (WHERE found), 0.0) AS score FROM d LEFT JOIN h USING (r) GROUP BY r, doc_id, w"""
+ coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE part IS NOT NULL))), ','), '') AS labels,
+ coalesce(max(part), 0.0) AS score FROM d LEFT JOIN h USING (r) GROUP BY r, doc_id, w"""
 
 
 @query("op6_licenses", _LICENSES)
