@@ -3,7 +3,7 @@
 Three patterns find secrets by their surroundings or form.  Others betray themselves by their
 letters alone: two Markov models of characters, one of random strings and one of ordinary
 identifiers and words, are compared by their log-likelihood ratio on every longer token.
-Both are counted from a bounded sample of documents: strings that the patterns take for a secret are labelled
+Both are counted over all documents: strings that the patterns take for a secret are labelled
 random, those of letters (and - and _) outside of them ordinary; tokens with digits outside of them have no label.  The model of random strings is mixed with an even
 distribution, since a few samples cannot show all kinds of them.
 
@@ -18,10 +18,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.text import once
 from quern.llm.common import text_column
 
-#: documents that the models are counted from, about
-FIT_ROWS = 10_000
 #: shortest token that is judged by its letters; bits per step of the ratio from which it is a secret
 TOKEN, BITS = 16, 1.0
 #: share of the even distribution in the model of random strings, what every character is counted more, and how many
@@ -59,12 +58,12 @@ def starts(before: str) -> Column:
 def located(df: DataFrame, found: str, pattern: str, out: str) -> DataFrame:
     """Add an array of (start, end, match) for the matches in column ``found`` of the column ``text``."""
     gaps = F.expr(f"if(size({found}) = 0, array(''), split(text, {_quoted(pattern)}, -1))")
-    df = df.withColumn("_gaps", gaps).withColumn("_steps", F.expr(
-        f"transform({found}, (m, i) -> length(get(_gaps, i)) + length(m))"))
-    df = df.withColumn("_at", starts("_steps"))
-    return df.withColumn(out, F.expr(
+    df = df.withColumn("_gaps", once(gaps)).withColumn("_steps", once(F.expr(
+        f"transform({found}, (m, i) -> length(get(_gaps, i)) + length(m))")))
+    df = df.withColumn("_at", once(starts("_steps")))
+    return df.withColumn(out, once(F.expr(
         f"transform({found}, (m, i) -> struct(get(_at, i) + length(get(_gaps, i)) AS start, "
-        f"get(_at, i) + length(get(_gaps, i)) + length(m) AS end, m AS match))")).drop("_gaps", "_steps", "_at")
+        f"get(_at, i) + length(get(_gaps, i)) + length(m) AS end, m AS match))"))).drop("_gaps", "_steps", "_at")
 
 
 def all_matches(text: str, pattern: str, group: int = 0) -> Column:
@@ -93,18 +92,17 @@ def chances(counts: dict[tuple[str, str], int], even: float) -> list[float]:
     return out
 
 
-def train(docs: DataFrame, rows: int = FIT_ROWS) -> list[float]:
+def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratio, in bits, of every pair of characters: random string against ordinary one.
 
     Without any ordinary strings all ratios are 0, and no token is taken for a secret.
     """
     text = text_column(docs)
-    share = min(1.0, rows / max(docs.count(), 1))
-    drawn = docs.filter(F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(1_000_000)) < int(share * 1_000_000)).select(text.alias("text"))
-    values = drawn.select(F.concat(
+    texts = docs.select(text.alias("text"))
+    values = texts.select(F.concat(
         F.filter(all_matches("text", ASSIGN, 2), lambda v: F.length(v) >= VALUE),
         all_matches("text", ACCESS), all_matches("text", HEX)).alias("v")).select(F.explode_outer("v").alias("v")).filter("v IS NOT NULL")
-    ordinary = drawn.select(F.explode_outer(F.expr(
+    ordinary = texts.select(F.explode_outer(F.expr(
         rf"regexp_extract_all(regexp_replace(regexp_replace(text, {_quoted(ASSIGN)}, ' '), {_quoted(ACCESS + '|' + HEX)}, ' '), "
         r"'(?<![A-Za-z0-9+/=_-])[A-Za-z][A-Za-z_-]{3,}(?![A-Za-z0-9+/=_-])', 0)")).alias("v")).filter("v IS NOT NULL")
     plain = bigrams(ordinary, "v")
@@ -135,11 +133,27 @@ def scanned(docs: DataFrame, ratios: list[float], keep: list[str]) -> DataFrame:
     df = located(df, "m_token", tokens, "s_token")
     base = [F.expr(f"transform(s_{kind}, s -> struct(s.start AS start, {k} AS kind, s.end AS end))")
             for k, kind in enumerate(KINDS[:3])]
-    df = df.withColumn("base", F.array_sort(F.concat(*base)))
-    df = df.withColumn("random", F.expr(
-        "transform(filter(filter(s_token, (s, i) -> get(odd, i)), s -> NOT exists(base, b -> b.start < s.end AND s.start < b.end)), "
-        "s -> struct(s.start AS start, 3 AS kind, s.end AS end))"))
-    return df.withColumn("spans", F.array_sort(F.concat("base", "random")))
+    df = df.withColumn("base", once(F.array_sort(F.concat(*base)))).withColumn("apart", once(merged("base")))
+    # the last stretch that begins before a token's end, by halving; the token is free if that has ended before it
+    steps = f"array({', '.join(str(1 << i) for i in range(30, -1, -1))})"
+    last = f"aggregate({steps}, 0, (n, x) -> if(coalesce(get(apart, n + x - 1).start < s.end, false), n + x, n))"
+    df = df.withColumn("random", once(F.expr(
+        f"transform(filter(filter(s_token, (s, i) -> get(odd, i)), s -> coalesce(get(apart, {last} - 1).end <= s.start, true)), "
+        "s -> struct(s.start AS start, 3 AS kind, s.end AS end))")))
+    return df.withColumn("spans", once(F.array_sort(F.concat("base", "random"))))
+
+
+def merged(spans: str) -> Column:
+    """Spans in order of their starts as (start, end), those that overlap or touch as one.
+
+    A span begins a stretch if all before it end before it; the ends before it are running maxima, made in one pass.
+    """
+    ends = (f"aggregate({spans}, named_struct('top', -1, 'all', cast(array() AS array<int>)), "
+            "(a, s) -> named_struct('top', greatest(a.top, s.end), 'all', array_append(a.all, a.top)), a -> array_append(a.all, a.top))")
+    heads = f"filter(sequence(0, size({spans}) - 1), i -> get({spans}, i).start > get(tops, i))"
+    joined = (f"transform(heads, (h, j) -> struct(get({spans}, h).start AS start, get(tops, coalesce(get(heads, j + 1), size({spans}))) AS end))")
+    empty = "cast(array() AS array<struct<start: int, end: int>>)"
+    return F.expr(f"if(size({spans}) = 0, {empty}, get(transform(array({ends}), tops -> get(transform(array({heads}), heads -> {joined}), 0)), 0))")
 
 
 def written(spans: str) -> Column:
@@ -148,7 +162,7 @@ def written(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', get(array({names}), s.kind), s.start, s.end)), ',')")
 
 
-def find_secrets(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+def find_secrets(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans), one row per row of ``docs``.
 
     spans has those of the patterns and, as kind ``random``, tokens that the models take for random strings
@@ -156,31 +170,27 @@ def find_secrets(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     is that of an empty text.  Null ids and repeated rows stay; texts are read whole; other columns
     play no part; an empty table gives no rows.
     """
-    df = scanned(docs, train(docs, rows), ["doc_id"])
+    df = scanned(docs, train(docs), ["doc_id"])
     count = [F.size(f"s_{k}").cast("long").alias(f"n_{k}") for k in KINDS[:3]]
     return df.select(F.col("k0").alias("doc_id"), *count, F.sha2(written("base"), 256).alias("base_sha256"),
                      written("spans").alias("spans"))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", rows: int = FIT_ROWS) -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mark``; all rows and columns stay.
 
-    n_chars, if there is such a column, becomes the length of the new text where the text changed.
+    Null and empty texts stay as they are, equal rows stay equal, texts are read whole.  n_chars, if there is such a column, becomes the length of the new text where the text changed.
     """
     columns = docs.columns
-    df = scanned(docs, train(docs, rows), columns)
-    # spans that overlap or touch become one: each begins where all before it have ended
-    df = df.withColumn("reach", F.expr(
-        "transform(spans, (s, i) -> coalesce(array_max(transform(slice(spans, 1, i), x -> x.end)), -1))"))
-    df = df.withColumn("heads", F.expr("filter(transform(spans, (s, i) -> if(s.start > get(reach, i), s.start, null)), x -> x IS NOT NULL)"))
-    df = df.withColumn("tails", F.expr("transform(heads, (h, i) -> array_max(transform(filter(spans, s -> s.start >= h AND "
-                                       "s.start < coalesce(get(heads, i + 1), 2147483647)), s -> s.end)))"))
+    df = scanned(docs, train(docs), columns)
+    df = df.withColumn("heads", once(merged("spans")))
+    # the text between them, and the mark after each part but the last
     new = F.expr(
-        "if(size(heads) = 0, text, array_join(concat(transform(heads, (h, i) -> concat(substring(text, "
-        "coalesce(get(tails, i - 1), 0) + 1, h - coalesce(get(tails, i - 1), 0)), "
-        f"{_quoted(mark)})), array(substring(text, get(tails, size(tails) - 1) + 1))), ''))")
+        "if(size(heads) = 0, text, array_join(transform(sequence(0, size(heads)), i -> substring(text, "
+        "coalesce(get(heads, i - 1).end, 0) + 1, coalesce(get(heads, i).start, 2147483647) - coalesce(get(heads, i - 1).end, 0))), "
+        f"{_quoted(mark)}))")
     changed = F.expr("size(heads) > 0")
-    df = df.withColumn("new", new)
+    df = df.withColumn("new", once(new))
     out = []
     for i, c in enumerate(columns):
         own = F.col(f"k{i}")
