@@ -34,7 +34,7 @@ TOP = 50
 #: UTF-8 bytes of items that are searched in one round (a longer query set takes several), and those that share a tree
 ROUND_BYTES, TREE_BYTES = 1 << 18, 1 << 16
 #: documents and postings of a batch that gets a tree, and documents and items of a leaf
-BATCH_DOCS, BATCH_POSTINGS, LEAF_DOCS, LEAF_ITEMS = 4096, 1 << 21, 64, 8
+BATCH_DOCS, BATCH_POSTINGS, LEAF_DOCS, LEAF_ITEMS = 4096, 1 << 21, 16, 4
 #: one document of so many is searched first, for the scores to start from
 FIRST = 32
 #: sums of products below this are exact in doubles
