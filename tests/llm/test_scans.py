@@ -341,6 +341,12 @@ def test_main_text(spark):
     ("<article><table><tr><td class=ad>a<td>One<tr><td>Two<td class=ad>b</table>Three</article>", "One Two Three"),
     ("<head><meta charset=x><body><article><div class=ad><div>a</div><span>b</span></div>One</article>", "One"),
     ("<article>One <span class=ad>a <span>b</span> c</span> two<nav><div>d</div>e</nav></article>", "One two"),
+    ('<article class="post share"><p>kept</p></article>', "kept"),
+    ('<article><section class="social-history"><p>one</p></section><section id="search"><p>two</p></section></article>', "one two"),
+    ('<div role="main">main text</div><div>side</div>', "main text"),
+    ('<main><p>body</p><div class="site-nav">n</div><div class="ad-slot">a</div><div class="form-text">f</div></main>', "body f"),
+    ('<article class="post"><p>a</p><article class="share">s</article></article>', "a"),
+    ('<article>a</article><article class="x comment-body">c</article>', "a"),
 ])
 def test_markup_of_ordinary_pages(page, text):
     marked, own, _ = pages.blocks(page)
