@@ -7,8 +7,12 @@ which partial sums meet.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern import settings
 from quern.operators.ordered import Ordered, null_safe, position, running, runs, shift, total
@@ -163,7 +167,11 @@ def reuse_distance(df: DataFrame, keys: list[str], order: list[str], item: str)
     of earlier rows with prev <= prev(i), less prev(i).  That rank is counted one
     binary digit at a time: two prevs compare by the first digit in which they
     differ, so each digit is one running count inside the rows that agree above it.
+    If no key is too large for a task, each key is counted in one go, by merging.
     """
+    first = Ordered(df.select(*keys, *order, item), keys, order)
+    if not first.split:
+        return _reuse_in_groups(first.rows(), keys, order, item)
     rows = _last_same(df, keys, order, item).rows()
     longest = rows.agg(F.max("i")).first()[0] or 1
     digits = int(longest).bit_length()
@@ -185,6 +193,40 @@ def reuse_distance(df: DataFrame, keys: list[str], order: list[str], item: str)
         F.when(F.col("prev") > 0, F.col("_r") + F.col("_new") - F.col("prev")).alias("distance"))
 
 
+def earlier_not_above(values: np.ndarray) -> np.ndarray:
+    """For every place the number of earlier places with a value no larger, counted while halves are merged."""
+    at = np.arange(len(values))
+    out, width = np.zeros(len(values), np.int64), 1
+    while width < len(values):
+        right = at // width % 2 == 1
+        order = np.lexsort((right, values, at // (2 * width)))  # of equal values the left half's come first
+        left = np.concatenate(([0], np.cumsum(~right[order])))
+        start = np.searchsorted(at[order] // (2 * width), at[order] // (2 * width), "left")
+        later = right[order]
+        out[order[later]] += (left[1:] - left[start])[later]
+        width *= 2
+    return out
+
+
+def _reuse_in_groups(rows: DataFrame, keys: list[str], order: list[str], item: str) -> DataFrame:
+    """Reuse distances of keys that fit into a task: one shuffle."""
+
+    def count(table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(table, [(c, "ascending") for c in order], null_placement="at_start"))
+        codes = table[item].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        by_item = np.argsort(codes, kind="stable")
+        same = codes[by_item[1:]] == codes[by_item[:-1]]
+        prev = np.zeros(len(codes), np.int64)
+        prev[by_item[1:][same]] = by_item[:-1][same] + 1
+        distance = pa.array(earlier_not_above(prev) - prev, mask=prev == 0)
+        return pa.table([*(table[k] for k in keys), pa.array(np.arange(1, len(codes) + 1)), table[item], distance],
+                        [*keys, "i", item, "distance"])
+
+    long = T.LongType()
+    kind = T.StructType([*(rows.schema[k] for k in keys), T.StructField("i", long), rows.schema[item], T.StructField("distance", long)])
+    return rows.groupBy(*keys).applyInArrow(count, kind)
+
+
 def repeated_pair(df: DataFrame, keys: list[str], order: list[str], record: Column) -> DataFrame:
     """Whether the last two records of a key equal the two before them."""
     o = Ordered(df.select(*keys, *order, record.alias("e")), keys, order).scan(l1=shift("e"), i=position())
