@@ -1,13 +1,14 @@
 """Phrase collocation mining by SON partitioning.
 
-A phrase that occurs ``least`` times in all texts of a language occurs at least so often in proportion in one of the shards
-they are dealt into: if a shard holds a tenth of the words, a tenth of the support is asked for there.  So every
-shard is mined completely at its own lowered support, level by level (a phrase is frequent only if all its parts are), the
-phrases that are frequent in any shard are united, and these alone are counted over all texts, exactly.
+The texts are dealt at random into shards of equal size.  A phrase that occurs ``least`` times in all of them occurs in one of
+k shards at least ``least`` / k times, rounded up.  So every shard is mined completely at this lowered support, level by
+level (a phrase is frequent only if all its parts are), the phrases that are frequent in any shard are united, and these
+alone are counted over all texts, exactly.
 
 With a support that does not grow with the corpus there can be only a few shards (a shard with less than 1 / least of the
 words would have to keep everything), so a shard is no task: it is a share of the documents that many tasks
-read, and its counts are summed by a shuffle.  Tasks sum their own n-grams first and send a hash and a count.
+read, and its counts are summed by a shuffle.  Tasks sum their own n-grams first and send one number each: hash, shard and count.
+Two n-grams with one hash only make a candidate too many.
 Which phrases go on to the next level is told by a filter of bits of bounded size, built in Spark.  It lets
 through every frequent phrase and by chance some others; these cost time but change nothing, since the last count
 is by the words themselves.  Once there are more than about ``bits / 8`` frequent phrases the filter prunes less and less;
@@ -35,14 +36,17 @@ LEAST, LONGEST, FIRST = 30, 4, 2000
 INSIDE = 80
 #: scores are millionths, twice
 UNIT = 2_000_000
-#: shares of the documents that are mined on their own
-SHARDS = 5
-#: most bits of the filter, and bits per phrase while there are few; every phrase sets PROBES of them
-BITS, PER_PHRASE, PROBES = 1 << 28, 16, 3
+#: shares of the documents that are mined on their own, 31 at most
+SHARDS = 3
+#: bits of the shard and of the count in the number that stands for an n-gram; 48 bits of hash lie above them
+SHARD_BITS, COUNT_BITS = 5, 10
+#: most bits of the filter, and bits per phrase while there are few; every phrase sets up to PROBES of them, all in one word
+BITS, PER_PHRASE, PROBES = 1 << 28, 16, 4
 #: bytes of text that are worked on at once, and n-grams that a task gathers before it sends their sums
 SLICE, GATHERED = 4 << 20, 4_000_000
 
-#: bytes that end a piece, and bytes that end a word
+#: a word; bytes that end a piece, and bytes that end a word
+WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 ENDS = np.isin(np.arange(256), [*b".,;:!?", *range(10, 14)])
 GAPS = ENDS | np.isin(np.arange(256), [32, 9])
 
@@ -75,11 +79,11 @@ class Words:
         return places
 
     def keys(self, places: np.ndarray, n: int, langs: np.ndarray) -> np.ndarray:
-        """Hashes of the n-grams at the given places; ``langs``: a number per word for its language."""
+        """Hashes (48 bits) of the n-grams at the given places; ``langs``: a number per word for its language."""
         key = mixed(self.hashes[places] ^ langs[places])
         for k in range(1, n):
             key = mixed(key * np.uint64(31) + self.hashes[places + k])
-        return key
+        return key >> np.uint64(16)
 
 
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,44 +107,36 @@ def name_hash(names: list[str]) -> np.ndarray:
 # --- the filter ----------------------------------------------------------------------------------------
 
 
-def probes(keys: np.ndarray, bits: int) -> list[np.ndarray]:
-    """Places of a key's bits in a filter of 2^x bits."""
-    second = mixed(keys ^ np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
-    return [((keys + np.uint64(i) * second) & np.uint64(bits - 1)).astype(np.int64) for i in range(PROBES)]
+def probes(keys: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place of a key's word in a filter of 2^x words, its bits in the word)."""
+    first, second = mixed(keys), mixed(keys ^ np.uint64(0xC2B2AE3D27D4EB4F))
+    bits = np.zeros(len(keys), np.uint64)
+    for i in range(PROBES):
+        bits |= np.uint64(1) << ((second >> np.uint64(6 * i)) & np.uint64(63))
+    return (first & np.uint64(words - 1)).astype(np.int64), bits
 
 
 def passes(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    found = np.ones(len(keys), bool)
-    for place in probes(keys, 8 * len(table)):
-        found &= (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-    return found
-
-
-def in_shard(keys: np.ndarray, shards: np.ndarray) -> np.ndarray:
-    """Keys of a filter that tells shards apart."""
-    return mixed(keys + (shards.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03))
+    place, bits = probes(keys, len(table))
+    return table[place] & bits == bits
 
 
 def filter_of(keys: DataFrame, most: int) -> np.ndarray:
-    """Bits that every (key, shard) has set, or every key if there is no shard; at most ``most`` of them, whatever the number of keys."""
-    bits = 1 << 16
+    """Words of bits; every key has its own set.  At most ``most`` bits, whatever the number of keys."""
+    words = 1 << 10
     count = keys.count()
-    while bits < most and bits < PER_PHRASE * count:
-        bits *= 2
+    while 64 * words < min(most, PER_PHRASE * count):
+        words *= 2
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = batch.column(0).to_numpy().view(np.uint64)
-            if batch.num_columns > 1:
-                held = in_shard(held, batch.column(1).to_numpy())
-            places = np.unique(np.concatenate(probes(held, bits)))
-            yield pa.RecordBatch.from_arrays([pa.array(places >> 6), pa.array((np.uint64(1) << (places & 63).astype(np.uint64)).view(np.int64))],
-                                             ["at", "bit"])
+            place, bits = probes(batch.column(0).to_numpy().view(np.uint64), words)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(bits.view(np.int64))], ["at", "bits"])
 
-    words = keys.mapInArrow(placed, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("word")).toArrow()
-    table = np.zeros(bits >> 6, np.int64)
-    table[words["at"].to_numpy()] = words["word"].to_numpy()
-    return table.view(np.uint8)
+    held = keys.mapInArrow(placed, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(words, np.int64)
+    table[held["at"].to_numpy()] = held["bits"].to_numpy()
+    return table.view(np.uint64)
 
 
 # --- mining ------------------------------------------------------------------------------------------
@@ -159,54 +155,49 @@ def read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[
             yield Words(texts, np.array([number[p] for p in pairs], np.int64)), names
 
 
-def mined(rows: DataFrame, lengths: list[int], frequent: np.ndarray | None) -> DataFrame:
-    """(lang, shard, key, c): how often the n-grams of the given lengths occur in each shard.
+def mined(rows: DataFrame, lengths: list[int], frequent: np.ndarray | None, asked: int) -> DataFrame:
+    """(key): n-grams of the given lengths, with their shard, that occur in it as often as asked.
 
     n-grams that have a part of fewer words, two at most, which is not ``frequent`` in the shard are left out.
     """
     given = rows.sparkSession.sparkContext.broadcast(frequent)
+    most = (1 << COUNT_BITS) - 1
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: dict[tuple, list[np.ndarray]] = {}
-        size = 0
-
-        def send() -> Iterator[pa.RecordBatch]:
-            for (lang, shard), parts in gathered.items():
-                keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int64))), pa.array(np.full(len(keys), shard, np.int32)),
-                    pa.array(keys.view(np.int64)), pa.array(counts)], ["lang", "shard", "key", "c"])
-            gathered.clear()
+    def sums(parts: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+        times = -(-counts // most)  # a larger count takes several rows
+        last = counts - (times - 1) * most
+        out = np.repeat(keys << np.uint64(COUNT_BITS), times) | np.uint64(most)
+        ends = np.cumsum(times) - 1
+        out[ends] = (keys << np.uint64(COUNT_BITS)) | last.astype(np.uint64)
+        return pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["k"])
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered, size = [], 0
         for words, names in read_words(batches):
             langs = name_hash([lang for lang, _ in names])[words.group]
             shards = np.array([shard for _, shard in names], np.uint64)[words.group]
+            keyed = lambda places, n: (words.keys(places, n, langs) << np.uint64(SHARD_BITS)) | shards[places]  # noqa: B023, E731
             ok = []
-            for n in range(1, max(lengths)) if given.value is not None else ():
-                if n > 2:
-                    break
+            for n in range(1, min(max(lengths), 3)) if given.value is not None else ():
                 places = words.places(n)
                 ok.append(np.zeros(len(words.ids), bool))
-                ok[-1][places[passes(given.value, in_shard(words.keys(places, n, langs), shards[places]))]] = True
+                ok[-1][places[passes(given.value, keyed(places, n))]] = True
             for n in lengths:
                 places = words.places(n)
-                places = places[frequent_parts(places, n, ok)]
-                keys = words.keys(places, n, langs)
-                order = np.argsort(words.group[places], kind="stable")
-                keys = keys[order]
-                cuts = np.searchsorted(words.group[places][order], np.arange(len(names) + 1))
-                for name, a, b in zip(names, cuts, cuts[1:]):
-                    if b > a:
-                        gathered.setdefault(name, []).append(keys[a:b])
-                        size += int(b - a)
+                gathered.append(keyed(places[frequent_parts(places, n, ok)], n))
+                size += len(gathered[-1])
             if size >= GATHERED:
-                yield from send()
-                size = 0
-        yield from send()
+                yield sums(gathered)
+                gathered, size = [], 0
+        if size:
+            yield sums(gathered)
 
-    # the tasks have summed already: one exchange by the key, and no second sum before it
-    return rows.mapInArrow(work, "lang string, shard int, key long, c long").repartition("lang", "shard", "key").groupBy(
-        "lang", "shard", "key").agg(F.sum("c").alias("c"))
+    # the tasks have summed already: one exchange of these numbers, and no second sum before it
+    key = F.shiftright("k", COUNT_BITS)
+    found = rows.mapInArrow(work, "k long").repartition(key).groupBy(key.alias("key")).agg(
+        F.sum(F.col("k").bitwiseAND(F.lit(most))).alias("c"))
+    return found.filter(F.col("c") >= asked).select("key")
 
 
 def frequent_parts(places: np.ndarray, n: int, ok: list[np.ndarray]) -> np.ndarray:
@@ -219,30 +210,14 @@ def frequent_parts(places: np.ndarray, n: int, ok: list[np.ndarray]) -> np.ndarr
     return good
 
 
-def support(rows: DataFrame, least: int) -> DataFrame:
-    """(_lang, _shard, n, asked): words of a language, and how often a phrase must occur in a shard to be kept there."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, names in read_words(batches):
-            held = np.bincount(words.group, minlength=len(names))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in names], pa.string()), pa.array([s for _, s in names], pa.int32()),
-                                              pa.array(held)], ["lang", "shard", "c"])
-
-    held = rows.mapInArrow(counted, "lang string, shard int, c long").groupBy("lang", "shard").agg(F.sum("c").alias("c"))
-    n = F.sum("c").over(W.partitionBy("lang"))  # a row per shard
-    asked = F.ceil(F.col("c").cast("decimal(20,0)") * least / F.greatest(n, F.lit(1)).cast("decimal(20,0)")).cast("bigint")
-    return held.select(F.col("lang").alias("_lang"), F.col("shard").alias("_shard"), n.alias("n"), asked.alias("asked"))
-
-
-def candidates(rows: DataFrame, supports: DataFrame, longest: int, bits: int) -> np.ndarray:
+def candidates(rows: DataFrame, asked: int, longest: int, bits: int) -> np.ndarray:
     """Filter of all phrases, of one word too, that are frequent in some shard."""
     every = None
     for lengths in ([1], [2], list(range(3, longest + 1))):
         if lengths and lengths[0] <= longest:
-            counts = mined(rows, lengths, None if every is None else filter_of(every, bits))
-            found = lookup(counts, supports, [("lang", "_lang"), ("shard", "_shard")]).filter(F.col("c") >= F.col("asked")).select("key", "shard").checkpoint()
+            found = mined(rows, lengths, None if every is None else filter_of(every, bits), asked).checkpoint()
             every = found if every is None else every.unionByName(found)
-    return filter_of(every.select("key").distinct(), bits)
+    return filter_of(every.select(F.shiftright("key", SHARD_BITS).alias("key")), bits)
 
 
 def counted(rows: DataFrame, frequent: np.ndarray, longest: int) -> DataFrame:
@@ -263,8 +238,8 @@ def counted(rows: DataFrame, frequent: np.ndarray, longest: int) -> DataFrame:
                 ok[-1][places] = True
                 yield from exact(words, places, n, of, langs)
 
-    return rows.mapInArrow(work, "lang string, phrase string, words int, f long").groupBy("lang", "phrase").agg(
-        F.first("words").alias("words"), F.sum("f").alias("f"))
+    summed = rows.mapInArrow(work, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return summed.withColumn("words", F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1)
 
 
 def exact(words: Words, places: np.ndarray, n: int, of: np.ndarray, langs: list[str]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +255,7 @@ def exact(words: Words, places: np.ndarray, n: int, of: np.ndarray, langs: list[
     parts = [names.take(pa.array(words.ids[at + k])) for k in range(n)]
     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if n > 1 else parts[0]
     yield pa.RecordBatch.from_arrays([
-        pa.array(langs, pa.string()).take(pa.array(of[at])), phrase.cast(pa.string()), pa.array(np.full(len(at), n, np.int32)), pa.array(counts)],
-        ["lang", "phrase", "words", "f"])
+        pa.array(langs, pa.string()).take(pa.array(of[at])), phrase.cast(pa.string()), pa.array(counts)], ["lang", "phrase", "f"])
 
 
 def ngram_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
@@ -290,10 +264,10 @@ def ngram_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sh
     text = text_column(docs)
     rows = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"),
                        F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(shards)).cast("int").alias("shard"), text.alias("text"))
-    supports = support(rows, least).checkpoint()
-    frequent = candidates(rows, supports, longest, bits)
+    frequent = candidates(rows, -(-least // shards), longest, bits)
     found = counted(rows, frequent, longest).filter(F.col("f") >= least).checkpoint()
-    return found, supports.groupBy(F.col("_lang").alias("lang")).agg(F.first("n").alias("n"))
+    words = F.length(F.translate(F.regexp_replace("text", WORD, "x"), " \t.,;:!?\n\x0b\x0c\r", ""))  # one letter per word is left
+    return found, rows.groupBy("lang").agg(F.sum(words.cast("bigint")).alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, first: int = FIRST, **how) -> DataFrame:
@@ -317,7 +291,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, fi
     part = lambda name: found.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"), F.col("f").alias(name))
     both = lookup(cuts, part("l"), [("lang", "_lang"), ("left", "_part")]).drop("_lang", "_part")
     both = lookup(both, part("r"), [("lang", "_lang"), ("right", "_part")])
-    exact_ratio = F.expr(f"cast(a as decimal(20,0)) * {UNIT}BD div cast(l + r as decimal(20,0))")
+    exact_ratio = F.expr(f"cast(a as decimal(20,0)) * {UNIT}BD div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))")
     lowest = both.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct(exact_ratio.alias("score"), "k", "l", "r")).alias("cut"))
     # what lies inside a longer phrase: parts of 2 words and more, and the most that any longer one of them has
     inner = phrases.filter(F.col("words") > 2).select("lang", "words", "f", F.split("phrase", " ").alias("w")).select(
