@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.joins import fits_broadcast
@@ -16,6 +17,12 @@ from quern.operators.joins import fits_broadcast
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps: it does so for what the driver's garbage collection no longer finds."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_column(docs: DataFrame, column: str = "text") -> Column:
     """The text as a string, an empty one in place of a null."""
     return F.coalesce(docs[column].cast("string"), F.lit(""))

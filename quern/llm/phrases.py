@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern import settings
-from quern.llm.common import lowered, mixed, pieces_of, raw, span_hashes, text_column
+from quern.llm.common import lowered, mixed, pieces_of, raw, release, span_hashes, text_column
 from quern.operators.joins import lookup
 
 #: occurrences of a phrase, words in the longest one, phrases returned per language
@@ -217,6 +217,7 @@ def candidates(rows: DataFrame, asked: int, longest: int, bits: int) -> np.ndarr
         if lengths and lengths[0] <= longest:
             found = mined(rows, lengths, None if every is None else filter_of(every, bits), asked).checkpoint()
             every = found if every is None else every.unionByName(found)
+            release(rows.sparkSession)  # else the shuffles of all levels lie on the disks at once
     return filter_of(every.select(F.shiftright("key", SHARD_BITS).alias("key")), bits)
 
 
@@ -266,6 +267,7 @@ def ngram_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sh
                        F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(shards)).cast("int").alias("shard"), text.alias("text"))
     frequent = candidates(rows, -(-least // shards), longest, bits)
     found = counted(rows, frequent, longest).filter(F.col("f") >= least).checkpoint()
+    release(docs.sparkSession)
     words = F.length(F.translate(F.regexp_replace("text", WORD, "x"), " \t.,;:!?\n\x0b\x0c\r", ""))  # one letter per word is left
     return found, rows.groupBy("lang").agg(F.sum(words.cast("bigint")).alias("n"))
 
