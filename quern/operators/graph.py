@@ -17,6 +17,11 @@ from quern.operators.joins import lookup
 from quern.operators.ordered import Ordered, position, shift
 
 
+def _rows(df: DataFrame, column: str, rows: int) -> int | None:
+    """The known number of rows where that bounds the bytes too; vertices that are texts have to be measured."""
+    return None if dict(df.dtypes)[column] in ("string", "binary") else rows
+
+
 def vertices_of(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("v")).unionByName(edges.select(F.col("dst").alias("v"))).distinct()
 
@@ -35,7 +40,7 @@ def shortest_paths(edges: DataFrame, source) -> DataFrame:
     start = spark.range(1).select(F.lit(source).cast(kinds["src"]).alias("v"), F.lit(0).cast(kinds["w"]).alias("dist"))
     known = frontier = start.checkpoint()
     while size := frontier.count():
-        reached = lookup(edges, frontier, [("src", "v")], dim_rows=size).groupBy(F.col("dst").alias("v")).agg(
+        reached = lookup(edges, frontier, [("src", "v")], dim_rows=_rows(frontier, "v", size)).groupBy(F.col("dst").alias("v")).agg(
             F.min(F.col("dist") + F.col("w")).alias("new"))
         merged = known.join(reached, "v", "full").select(
             "v", F.least("dist", "new").alias("dist"),
@@ -83,7 +88,7 @@ def levels(edges: DataFrame, vertices: DataFrame, failed: DataFrame | None = Non
         if not size:
             waiting = waiting.limit(0)
             break
-        leaving = lookup(edges, pushing, [("src", "_v")], dim_rows=size if kind != "string" else None)
+        leaving = lookup(edges, pushing, [("src", "_v")], dim_rows=_rows(pushing, "_v", size))
         met = leaving.groupBy(F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("met")).checkpoint()
         left -= met.agg(F.sum("met")).first()[0] or 0
         level += 1
@@ -174,9 +179,9 @@ def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     state = vertices.select("v", F.col("v").alias("label")).distinct().checkpoint()
     size = state.count()
     while True:
-        heard = lookup(both, state, [("src", "v")], dim_rows=size).groupBy(F.col("dst").alias("v")).agg(F.min("label").alias("new"))
+        heard = lookup(both, state, [("src", "v")], dim_rows=_rows(state, "v", size)).groupBy(F.col("dst").alias("v")).agg(F.min("label").alias("new"))
         roots = state.select(F.col("v").alias("_v"), F.col("label").alias("_root"))
-        told = lookup(state.join(heard, "v", "left"), roots, [("label", "_v")], "left", dim_rows=size).select(
+        told = lookup(state.join(heard, "v", "left"), roots, [("label", "_v")], "left", dim_rows=_rows(state, "v", size)).select(
             "v", "label", F.least("label", "new", "_root").alias("new")).checkpoint()
         state = told.select("v", F.col("new").alias("label"))
         if told.filter("new <> label").isEmpty():
