@@ -101,7 +101,13 @@ def levels(edges: DataFrame, vertices: DataFrame, failed: DataFrame | None = Non
 
 
 def _rest(edges: DataFrame, waiting: DataFrame, level: int, kind: str) -> DataFrame:
-    """Levels from ``level`` on of a graph that fits into one task: level by level over edges sorted by their source."""
+    """Levels from ``level`` on of a graph whose edges fit into one task: level by level over edges sorted by their source.
+
+    Vertices without any of these edges, however many, wait for nothing and do not go through that task.
+    """
+    ends = vertices_of(edges)
+    alone = waiting.join(ends, "v", "left_anti").filter("need = 0").select("v", F.lit(level).cast("bigint").alias("level"))
+    waiting = waiting.join(ends, "v", "left_semi")
 
     def place(table: pa.Table) -> pa.Table:
         names = pa.chunked_array([*table["v"].chunks, *table["dst"].chunks]).combine_chunks().dictionary_encode()
@@ -133,7 +139,7 @@ def _rest(edges: DataFrame, waiting: DataFrame, level: int, kind: str) -> DataFr
     none = F.lit(None)
     rows = waiting.select("v", none.cast(kind).alias("dst"), "need", "stops").unionByName(
         edges.select(F.col("src").alias("v"), "dst", F.lit(0).cast("bigint").alias("need"), F.lit(False).alias("stops")))
-    return rows.groupBy().applyInArrow(place, f"v {kind}, level bigint")
+    return alone.unionByName(rows.groupBy().applyInArrow(place, f"v {kind}, level bigint"))
 
 
 def is_acyclic(edges: DataFrame) -> DataFrame:
