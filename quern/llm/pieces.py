@@ -388,16 +388,19 @@ def tokenize(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """
     vocabulary = Vocabulary(model)
 
-    @arrow_udf("struct<ids: array<int>, round_trip: boolean>")
-    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
         for batch in batches:
-            parts = []
-            for part in pieces_of(batch, BATCH_BYTES):
+            at = 0
+            for part in pieces_of(batch.column(1), BATCH_BYTES):  # each goes out by itself: a batch of long texts is never held whole
+                own = batch.column(0).slice(at, len(part))
+                at += len(part)
                 ids = encoder.encode(part)
                 same = [a == b for a, b in zip(decoder.texts(ids), binaries(part))]
-                parts.append(pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "round_trip"]))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())]))
+                yield pa.RecordBatch.from_arrays(
+                    [own, pa.array(np.diff(ids.offsets.to_numpy()), pa.int32()), ids, pa.array(same, pa.bool_())],
+                    ["doc_id", "n_tokens", "ids", "round_trip"])
 
-    rows = docs.select(docs["doc_id"], both(text_column(docs)).alias("x"))
-    return rows.select("doc_id", F.size("x.ids").alias("n_tokens"), "x.ids", "x.round_trip")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(docs["doc_id"], text_column(docs).alias("text"))
+    return rows.mapInArrow(both, f"doc_id {kind}, n_tokens int, ids array<int>, round_trip boolean")
