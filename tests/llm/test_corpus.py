@@ -211,12 +211,15 @@ def collocations(rows: list[tuple], least: int, first: int, longest: int = 4) ->
     out = []
     for lang, held in counts.items():
         good = {p: a for p, a in held.items() if len(p) > 1 and a >= least}
-        scored = []
+        scored, longer = [], Counter()
+        for q, f in good.items():
+            for size in range(2, len(q)):
+                for i in range(len(q) - size + 1):
+                    longer[q[i:i + size]] = max(longer[q[i:i + size]], f)
         for p, a in good.items():
             cuts = [(2_000_000 * a // (held[p[:k]] + held[p[k:]]), k, held[p[:k]], held[p[k:]]) for k in range(1, len(p))]
             score, _, left, right = min(cuts, key=lambda c: c[:2])
-            longer = [f for q, f in good.items() if len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q)))]
-            if not any(100 * f >= 80 * a for f in longer):
+            if 100 * longer[p] < 80 * a:
                 scored.append((-score, -a, " ".join(p).encode(), left, right))
         out += [(lang, n + 1, p.decode(), -a, left, right, totals[lang], -s) for n, (s, a, p, left, right) in enumerate(sorted(scored)[:first])]
     return sorted(out)
