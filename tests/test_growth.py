@@ -1,5 +1,7 @@
 """What a step sends through the cluster, counted: it must not grow faster than its input."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from quern.operators import similarity
@@ -12,3 +14,23 @@ def test_vectors_are_copied_a_few_times_only(spark):
     spread, tiles = similarity.block_tiles(df.withColumn("least", F.lit(-similarity.NONE)), 7)
     assert tiles <= similarity.BLOCKS * (similarity.BLOCKS + 1) // 2
     assert n < spread.count() <= n * (similarity.BLOCKS + 1)
+    few = df.withColumns({"least": F.lit(-similarity.NONE), "asks": F.col("v") > n - 4})
+    assert similarity.block_tiles(few, 7)[0].count() <= n + 3 * similarity.BLOCKS
+
+
+def test_greedy_dedup_looks_again_behind_struck_rows(spark):
+    rng = random.Random(5)
+    # windows of a long row of words: each resembles its neighbours, so that chains of struck rows arise; some keys come twice
+    starts = [rng.randrange(60) for _ in range(80)]
+    texts = [" ".join(f"w{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(s, s + 12)) for s in starts]
+    keys = [i if i % 9 else i + 1 for i in range(80)]
+    want, accepted = set(), []
+    for k, s in sorted(zip(keys, starts)):
+        by = min((a for a, t in accepted if a < k and 12 - abs(s - t) >= 0.6 * 12 - 1e-9), default=None)
+        want.add((k, s, by))
+        if by is None:
+            accepted.append((k, s))
+    df = spark.createDataFrame(list(zip(keys, starts, texts)), "id bigint, s int, text string")
+    for block in (1024, 6):
+        got = similarity.greedy_dedup(similarity.unit_vectors(df, "id", "text"), "id", 0.6, None, block).collect()
+        assert len(got) == 80 and {(r["id"], r.duplicate_of) for r in got} == {(k, by) for k, _, by in want}
