@@ -2,14 +2,15 @@
 
 A page is cut into blocks of text at block tags.  Parts that markup names as something else are left
 out: menus, site headers, footers, sidebars, notices, adverts, forms, scripts, reader comments.  If a page
-marks its article (or main part), the blocks in it are the text.
+marks its article (or main part), its lines are the blocks in it, else all that are left.
 
-For the other pages markup leaves open which lines belong to the site.  Every page is paired within its host with
+Markup leaves open which of these lines belong to the site.  Every page is paired within its host with
 the neighbour in the order of URL paths that shares the longer beginning of its path (pages that
 are made from one template lie side by side).  The lines of the two are aligned by their longest common
 subsequence, and the lines that both have are deleted.  A neighbour that shares nearly everything
 is a copy and says nothing about the site: then the other neighbour is asked, and if both are
-copies nothing is deleted.
+copies nothing is deleted.  Articles may share passages, so a line of a marked article is deleted only if both neighbours
+mark theirs too and have the line outside of it.
 
 Only keys and line hashes travel for the pairing, in an ordered scan that cuts large hosts into blocks.
 """
@@ -204,20 +205,20 @@ def line_hash(line: str) -> int:
 
 
 def parsed(page: Column) -> Column:
-    """Struct: text (null if the page marks no article), lines and their hashes outside of the article."""
-    kind = "struct<text: string, lines: array<string>, hashes: array<long>>"
+    """Struct: whether the page marks its article, its lines (of the article, or all), and the hashes of lines outside of the article."""
+    kind = "struct<marked: boolean, lines: array<string>, hashes: array<long>>"
 
     @arrow_udf(kind)
     def of_batch(pages: pa.Array) -> pa.Array:
-        texts, lines, hashes = [], [], []
+        marks, lines, hashes = [], [], []
         for data in binaries(pages):
             marked, own, rest = blocks(data.decode())
-            texts.append(" ".join(own) if marked else None)
-            lines.append([] if marked else rest)
+            marks.append(marked)
+            lines.append(own if marked else rest)
             hashes.append([line_hash(x) for x in rest])
         return pa.StructArray.from_arrays(
-            [pa.array(texts, pa.string()), pa.array(lines, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))],
-            ["text", "lines", "hashes"])
+            [pa.array(marks, pa.bool_()), pa.array(lines, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))],
+            ["marked", "lines", "hashes"])
 
     return of_batch(page)
 
@@ -245,35 +246,41 @@ def common(a: list[int], b: list[int]) -> list[int]:
     return out[::-1]
 
 
-def different(lines: Column, hashes: Column, nearest: Column, other: Column) -> Column:
-    """The page's own lines, joined: without those that it shares with a neighbour that is no copy of it."""
+def different(marked: Column, lines: Column, nearest: Column, other: Column) -> Column:
+    """The page's own lines, joined: without those that it shares with a neighbour that is no copy of it.
+
+    Neighbours: struct of marked and hashes.  From a marked article only lines go that both show outside of theirs.
+    """
 
     @arrow_udf("string")
-    def of_batch(lines: pa.Array, hashes: pa.Array, nearest: pa.Array, other: pa.Array) -> pa.Array:
+    def of_batch(marked: pa.Array, lines: pa.Array, nearest: pa.Array, other: pa.Array) -> pa.Array:
         out = []
-        for own, own_hashes, *neighbours in zip(*(x.to_pylist() for x in (lines, hashes, nearest, other))):
-            shared: list[int] = []
+        for is_article, own, *neighbours in zip(*(x.to_pylist() for x in (marked, lines, nearest, other))):
+            own_hashes = [line_hash(x) for x in own]
+            if is_article and not all(x and x["marked"] for x in neighbours):
+                neighbours = []
+            found = []
             for neighbour in neighbours:
-                shared = common(own_hashes, neighbour or [])
-                if len(shared) < COPY * len(own):
+                shared = set(common(own_hashes, (neighbour or {"hashes": []})["hashes"]))
+                found.append(shared if len(shared) < COPY * len(own) else set())
+                if found[-1] and not is_article:
                     break
-                shared = []
-            gone = set(shared)
+            gone = (set.intersection(*found) if is_article else found[-1]) if found else set()
             out.append(" ".join(x for i, x in enumerate(own) if i not in gone))
         return pa.array(out, pa.string())
 
-    return of_batch(lines, hashes, nearest, other)
+    return of_batch(marked, lines, nearest, other)
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
-    """(k0, k1, k2, nearest, other): line hashes of the two neighbours of every page in its host's order of paths."""
-    around = F.struct("path", "hashes")
+    """(k0, k1, k2, nearest, other): marked and line hashes of the two neighbours of every page in its host's order of paths."""
+    around = F.struct("path", F.struct("marked", "hashes").alias("page"))
     rows = Ordered(keys, ["host"], ["path", "k0", "k1", "k2"]).scan(before=shift(around), after=shift(around, reverse=True)).rows()
     alike = lambda c: F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.length("path"), F.lit(1))), lambda i: F.substring(
         F.col("path"), F.lit(1), i) == F.substring(F.col(f"{c}.path"), F.lit(1), i)))
     second = F.coalesce(alike("after"), F.lit(-1)) > F.coalesce(alike("before"), F.lit(-1))
-    return rows.select("k0", "k1", "k2", F.when(second, F.col("after.hashes")).otherwise(F.col("before.hashes")).alias("nearest"),
-                       F.when(second, F.col("before.hashes")).otherwise(F.col("after.hashes")).alias("other"))
+    return rows.select("k0", "k1", "k2", F.when(second, F.col("after.page")).otherwise(F.col("before.page")).alias("nearest"),
+                       F.when(second, F.col("before.page")).otherwise(F.col("after.page")).alias("other"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -292,14 +299,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     keys = rows.select(F.col("page_id").alias("k0"), F.col("url").alias("k1"), F.col("h").alias("k2"),
                        F.lower(F.regexp_extract(address, r"^[A-Za-z]+://([^/?#]*)", 1)).alias("host"),
                        F.regexp_extract(address, r"^(?:[A-Za-z]+://[^/?#]*)?([^?#]*)", 1).alias("path"),
-                       "hashes", F.col("text").isNull().alias("open")).checkpoint()
-    closed = rows.filter("text IS NOT NULL").select("page_id", "url", "text")
-    if keys.filter("open").isEmpty():
-        found = closed
-    else:
-        beside = neighbours(keys.drop("open").dropDuplicates(["k0", "k1", "k2"]))
-        left = rows.filter("text IS NULL").drop("text").join(
-            beside, F.col("page_id").eqNullSafe(F.col("k0")) & F.col("url").eqNullSafe(F.col("k1")) & (F.col("h") == F.col("k2")))
-        found = closed.unionByName(left.select(
-            "page_id", "url", different(F.col("lines"), F.col("hashes"), F.col("nearest"), F.col("other")).alias("text")))
+                       "marked", "hashes").checkpoint()
+    beside = neighbours(keys.dropDuplicates(["k0", "k1", "k2"]))
+    found = rows.join(beside, F.col("page_id").eqNullSafe(F.col("k0")) & F.col("url").eqNullSafe(F.col("k1")) & (F.col("h") == F.col("k2"))).select(
+        "page_id", "url", different(F.col("marked"), F.col("lines"), F.col("nearest"), F.col("other")).alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
