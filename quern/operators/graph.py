@@ -194,10 +194,47 @@ def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
             return state
 
 
-def is_tree(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """One row: vertices, edges, components, and whether that makes a tree."""
-    labels = components(edges, vertices)
-    counts = labels.agg(F.count(F.lit(1)).alias("vertices"), F.count_if(F.col("v") == F.col("label")).alias("components"))
+def merges(pairs: DataFrame) -> int:
+    """By how many the edges (a, b) make the components fewer than the vertices.
+
+    Every vertex with a smaller neighbour is put into the smallest of these.  That makes trees; each vertex finds its root by
+    doubling, and only edges between different roots are left for the next round, which has at most half of the vertices.
+    """
+    n = 0
+    while True:
+        up = pairs.groupBy("a").agg(F.min("b").alias("up")).checkpoint()
+        size = up.count()
+        if not size:
+            return n
+        n += size
+        while True:
+            above = up.select(F.col("a").alias("_a"), F.col("up").alias("_up"))
+            jumped = lookup(up, above, [("up", "_a")], "left", dim_rows=_rows(up, "a", size)).select(
+                "a", F.coalesce("_up", "up").alias("up"), F.col("_up").isNotNull().alias("moved")).checkpoint()
+            up = jumped.drop("moved")
+            if jumped.filter("moved").isEmpty():
+                break
+        of = lambda c: (up.select(F.col("a").alias(f"_{c}"), F.col("up").alias(f"_{c}_up")), [(c, f"_{c}")], "left", _rows(up, "a", size))
+        ends = lookup(lookup(pairs, *of("a")), *of("b")).select(F.coalesce("_a_up", "a").alias("a"), F.coalesce("_b_up", "b").alias("b"))
+        pairs = ends.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+
+
+def is_tree(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
+    """One row: vertices, edges, components, and whether that makes a tree.
+
+    Without ``vertices`` all that have an edge count; edges to vertices that are not listed join nothing.
+    """
+    settings.ensure_checkpoint_dir(edges.sparkSession)
+    edges = edges.select("src", "dst").checkpoint()
+    pairs = edges.filter("src <> dst").select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
+    if vertices is None:
+        vertices = vertices_of(edges)
+    else:
+        vertices = vertices.select("v").distinct().checkpoint()
+        for c in ("a", "b"):
+            pairs = pairs.join(vertices.select(F.col("v").alias(c)), c, "left_semi")
+    merged = merges(pairs.checkpoint())
+    counts = vertices.agg(F.count(F.lit(1)).alias("vertices"), (F.count("v") - merged).alias("components"))
     return counts.withColumn("edges", F.lit(edges.count()).cast("bigint")).select(
         "vertices", "edges", "components",
         ((F.col("edges") == F.col("vertices") - 1) & (F.col("components") == 1)).alias("is_tree"))

@@ -114,7 +114,7 @@ SELECT graph, vertices, edges, r = vertices AS connected, r = vertices AND edges
 def is_tree(t):
     heap = graph.is_tree(order_heap(t), t.orders.select(F.col("o_orderkey").alias("v"))).withColumn("graph", F.lit("orders"))
     sold = supplier_edges(t)
-    net = graph.is_tree(sold, graph.vertices_of(sold)).withColumn("graph", F.lit("suppliers"))
+    net = graph.is_tree(sold).withColumn("graph", F.lit("suppliers"))
     return heap.unionByName(net).select("graph", "vertices", "edges", (F.col("components") == 1).alias("connected"), "is_tree")
 
 

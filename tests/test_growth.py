@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from quern.operators import similarity
+from quern.operators import graph, similarity
 
 
 def test_vectors_are_copied_a_few_times_only(spark):
@@ -34,3 +34,20 @@ def test_greedy_dedup_looks_again_behind_struck_rows(spark):
     for block in (1024, 6):
         got = similarity.greedy_dedup(similarity.unit_vectors(df, "id", "text"), "id", 0.6, None, block).collect()
         assert len(got) == 80 and {(r["id"], r.duplicate_of) for r in got} == {(k, by) for k, _, by in want}
+
+
+def test_components_are_counted_by_contraction(spark, both_ways, monkeypatch):
+    """Labels of all vertices over all edges, round by round, are not needed to count."""
+    monkeypatch.setattr(graph, "components", None)
+    rng = random.Random(7)
+    pairs = [(i // 2, i) for i in range(1, 40)] + [(50 + rng.randrange(30), 50 + rng.randrange(30)) for _ in range(25)] + [(90, 90), (3, 200), (None, 5)]
+    pairs += [(300 - i, 299 - i) for i in range(20)]
+    listed = [v for v in range(100)] + list(range(280, 301))
+    label = {v: v for v in listed}
+    for _ in range(200):
+        for a, b in pairs:
+            if a in label and b in label:
+                label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame(pairs, "src int, dst int")
+    got = graph.is_tree(df, spark.createDataFrame([(v,) for v in listed * 2], "v int")).first()
+    assert (got.vertices, got.edges, got.components) == (len(listed), len(pairs), sum(v == x for v, x in label.items()))
