@@ -7,6 +7,8 @@ a lost executor costs one round at most.  Edges meet vertex tables through
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,6 +18,8 @@ from quern import settings
 from quern.operators.joins import lookup
 from quern.operators.ordered import Ordered, position, shift
 
+PIECES = 8  # broadcasts that a round may need before edges are shuffled instead
+
 
 def _rows(df: DataFrame, column: str, rows: int) -> int | None:
     """The known number of rows where that bounds the bytes too; vertices that are texts have to be measured."""
@@ -26,21 +30,36 @@ def vertices_of(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("v")).unionByName(edges.select(F.col("dst").alias("v"))).distinct()
 
 
+def _leaving(edges: DataFrame, frontier: DataFrame) -> DataFrame:
+    """Edges that leave the vertices (v, ...) of ``frontier``: these are broadcast, in up to PIECES pieces, so that the edges stay where they are."""
+    spark, kind = edges.sparkSession, dict(frontier.dtypes)["v"]
+    width = F.octet_length("v") + 24 if kind in ("string", "binary") else F.lit(16)
+    rows, size = frontier.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    most, most_bytes = settings.limit(spark, settings.BROADCAST_ROWS), settings.limit(spark, settings.BROADCAST_BYTES)
+    if rows > PIECES * most or (size or 0) > PIECES * most_bytes:
+        return lookup(edges, frontier, [("src", "v")])
+    pieces = max(1, -(-rows // max(most, 1)), -(-(size or 0) // max(most_bytes, 1)))
+    part = lambda i: frontier.filter(F.pmod(F.xxhash64("v"), F.lit(pieces)) == i)
+    return reduce(DataFrame.unionByName, [edges.join(F.broadcast(part(i)), F.col("src") == F.col("v")) for i in range(pieces)])
+
+
 def shortest_paths(edges: DataFrame, source) -> DataFrame:
     """(v, dist): least weight from the source, which has a row itself; only improved vertices travel each round.
 
+    Edges lie in ranges of their targets: a round sends about one row per vertex that is reached, not one per edge.
+
     Weights must not be negative: a circle of such edges has no least weight.  Edges without a weight are left out.
     """
     spark = edges.sparkSession
     settings.ensure_checkpoint_dir(spark)
-    edges = edges.filter(F.col("w").isNotNull()).groupBy("src", "dst").agg(F.min("w").alias("w")).checkpoint()
+    edges = edges.filter(F.col("w").isNotNull()).groupBy("src", "dst").agg(F.min("w").alias("w")).repartitionByRange("dst", "src").checkpoint()
     if (edges.agg(F.min("w")).first()[0] or 0) < 0:
         raise ValueError("an edge has a negative weight")
     kinds = dict(edges.dtypes)
     start = spark.range(1).select(F.lit(source).cast(kinds["src"]).alias("v"), F.lit(0).cast(kinds["w"]).alias("dist"))
     known = frontier = start.checkpoint()
-    while size := frontier.count():
-        reached = lookup(edges, frontier, [("src", "v")], dim_rows=_rows(frontier, "v", size)).groupBy(F.col("dst").alias("v")).agg(
+    while not frontier.isEmpty():
+        reached = _leaving(edges, frontier).groupBy(F.col("dst").alias("v")).agg(
             F.min(F.col("dist") + F.col("w")).alias("new"))
         merged = known.join(reached, "v", "full").select(
             "v", F.least("dist", "new").alias("dist"),

@@ -36,6 +36,21 @@ def test_greedy_dedup_looks_again_behind_struck_rows(spark):
         assert len(got) == 80 and {(r["id"], r.duplicate_of) for r in got} == {(k, by) for k, _, by in want}
 
 
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_edges_stay_where_they_are_while_paths_grow(spark):
+    edges = spark.range(300).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(1).alias("w"))
+    frontier = spark.range(40).select(F.col("id").alias("v"), F.lit(0).alias("dist"))
+    spark.conf.set("quern.broadcast.rows", "10")
+    try:
+        left = graph._leaving(edges, frontier)
+        assert _shuffles(left) == 0 and sorted(r.dst for r in left.collect()) == list(range(1, 41))
+    finally:
+        spark.conf.unset("quern.broadcast.rows")
+
+
 def test_components_are_counted_by_contraction(spark, both_ways, monkeypatch):
     """Labels of all vertices over all edges, round by round, are not needed to count."""
     monkeypatch.setattr(graph, "components", None)
