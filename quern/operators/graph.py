@@ -43,16 +43,19 @@ def _leaving(edges: DataFrame, frontier: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [edges.join(F.broadcast(part(i)), F.col("src") == F.col("v")) for i in range(pieces)])
 
 
-def shortest_paths(edges: DataFrame, source) -> DataFrame:
+def shortest_paths(edges: DataFrame, source, stored: bool = False) -> DataFrame:
     """(v, dist): least weight from the source, which has a row itself; only improved vertices travel each round.
 
-    Edges lie in ranges of their targets: a round sends about one row per vertex that is reached, not one per edge.
+    Edges stay where they lie: a round broadcasts the improved vertices and sends at most one row per task and vertex that is
+    reached.  Every round reads them again, so they are copied once, unless they are ``stored``: a plain view of a stored table.
 
     Weights must not be negative: a circle of such edges has no least weight.  Edges without a weight are left out.
     """
     spark = edges.sparkSession
     settings.ensure_checkpoint_dir(spark)
-    edges = edges.filter(F.col("w").isNotNull()).groupBy("src", "dst").agg(F.min("w").alias("w")).repartitionByRange("dst", "src").checkpoint()
+    edges = edges.filter(F.col("w").isNotNull()).select("src", "dst", "w")
+    if not stored:
+        edges = edges.checkpoint()
     if (edges.agg(F.min("w")).first()[0] or 0) < 0:
         raise ValueError("an edge has a negative weight")
     kinds = dict(edges.dtypes)
@@ -69,13 +72,13 @@ def shortest_paths(edges: DataFrame, source) -> DataFrame:
     return known
 
 
-def network_delay(edges: DataFrame, source, vertices: DataFrame | None = None) -> DataFrame:
+def network_delay(edges: DataFrame, source, vertices: DataFrame | None = None, stored: bool = False) -> DataFrame:
     """Largest shortest distance from the source, -1 if a vertex is out of reach.
 
-    ``vertices`` (column v) names all vertices; without it only those with an edge count.
+    ``vertices`` (column v) names all vertices; without it only those with an edge count.  ``stored`` as in ``shortest_paths``.
     """
     every = vertices_of(edges) if vertices is None else vertices.select("v").distinct()
-    found = every.join(shortest_paths(edges, source), "v", "left")
+    found = every.join(shortest_paths(edges, source, stored), "v", "left")
     return found.agg(
         F.when(F.count("dist") == F.count(F.lit(1)), F.max("dist")).otherwise(F.lit(-1)).cast("bigint").alias("delay"))
 

@@ -66,3 +66,24 @@ def test_components_are_counted_by_contraction(spark, both_ways, monkeypatch):
     df = spark.createDataFrame(pairs, "src int, dst int")
     got = graph.is_tree(df, spark.createDataFrame([(v,) for v in listed * 2], "v int")).first()
     assert (got.vertices, got.edges, got.components) == (len(listed), len(pairs), sum(v == x for v, x in label.items()))
+
+
+def test_paths_never_shuffle_edges(spark, tmp_path, monkeypatch):
+    """Edges of a stored table are read where they lie, others are copied as they are; rounds send the vertices that they reach."""
+    path, seen = str(tmp_path / "edges"), []
+    n = 40
+    rows = [(a, b, 1 + (a * 7 + b * 3) % 11) for a in range(n) for b in range(n) if a != b] * 2 + [(0, 1, None), (None, 3, 1), (900, 901, 1)]
+    spark.createDataFrame(rows, "src int, dst int, w int").write.parquet(path)
+    edges = spark.read.parquet(path)
+    leaving = graph._leaving
+    monkeypatch.setattr(graph, "_leaving", lambda e, f: seen.append(e._jdf.queryExecution().executedPlan().toString()) or leaving(e, f))
+    dist = {0: 0}
+    for _ in range(n):
+        for a, b, w in rows:
+            if w is not None and a in dist:
+                dist[b] = min(dist.get(b, 10 ** 6), dist[a] + w)
+    for stored in (True, False):
+        assert {r.v: r.dist for r in graph.shortest_paths(edges, 0, stored).collect()} == dist
+    assert seen and all("Exchange" not in plan for plan in seen) and any("FileScan" in plan for plan in seen)
+    assert graph.network_delay(edges.filter("src < 900"), 0, stored=True).first()[0] == max(dist.values())
+    assert graph.network_delay(edges, 0, stored=True).first()[0] == -1
