@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+from contextlib import suppress
 from functools import reduce
 
 import numpy as np
@@ -23,6 +25,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return what a worker's allocators keep to the system: workers stay, idle or with other work, beside an executor that needs the memory."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_column(docs: DataFrame, column: str = "text") -> Column:
     """The text as a string, an empty one in place of a null."""
     return F.coalesce(docs[column].cast("string"), F.lit(""))

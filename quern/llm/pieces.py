@@ -28,13 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from quern.llm.common import binaries, pieces_of, text_column
+from quern.llm.common import binaries, give_back, pieces_of, text_column
 
 #: the public vocabulary used where none is named
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: bytes of text that are matched at once, stretches that a worker remembers, and ids that it remembers for each
+#: bytes of text that are encoded at once, stretches that a worker remembers, and ids that it remembers for each
 BATCH_BYTES, REMEMBERED, SHORT = 2 << 20, 300_000, 16
+#: characters of new stretches that are matched at once
+MATCHED = 1 << 18
 #: rows of ids that are decoded at once hold about so many ids
 BATCH_IDS = 1 << 20
 START, NONE = -2, -1
@@ -195,6 +197,13 @@ class Vocabulary:
         return order.astype(np.int32)[place], np.repeat(self.sought[usable], n)
 
     def match(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``matched`` for about MATCHED characters at a time: its arrays take some hundred bytes per character."""
+        group = np.cumsum([len(s) + 1 for s in stretches]) // MATCHED
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(stretches)]
+        ids, count = zip(*(self.matched(stretches[a:b]) for a, b in zip(cuts, cuts[1:])))
+        return np.concatenate(ids), np.concatenate(count)
+
+    def matched(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all stretches in a row, number of ids of each): at most one space character, at a stretch's beginning."""
         sizes = np.array([len(s) for s in stretches])
         begin = np.cumsum(sizes + 1) - sizes - 1
@@ -342,6 +351,10 @@ def encode(text: Column, vocabulary: Vocabulary) -> Column:
         for batch in batches:
             parts = [encoder.encode(part) for part in pieces_of(batch, BATCH_BYTES)]
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+            del parts
+            give_back()
+        del encoder
+        give_back()
 
     return of_batches(text)
 
@@ -400,6 +413,9 @@ def tokenize(docs: DataFrame, model: str = MODEL) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [own, pa.array(np.diff(ids.offsets.to_numpy()), pa.int32()), ids, pa.array(same, pa.bool_())],
                     ["doc_id", "n_tokens", "ids", "round_trip"])
+            give_back()
+        del encoder, decoder
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(docs["doc_id"], text_column(docs).alias("text"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from quern import settings
-from quern.llm.common import binaries, semi_or_anti, text_column
+from quern.llm.common import binaries, give_back, pieces_of, semi_or_anti, text_column
 from quern.operators.graph import components
 
 #: fingerprints that the trees are built from, and that a leaf should hold
@@ -41,6 +41,8 @@ SAMPLE, LEAF_ROWS = 1 << 18, 2048
 LEAST, CELLS = 16, 1 << 20
 #: rows of bits that are summed at once
 ROWS = 1 << 16
+#: bytes of text that are held as Python objects at once
+SLICE = 4 << 20
 
 
 def vote(hashes: np.ndarray) -> int:
@@ -70,11 +72,13 @@ def simhash(text: Column, shingle: int = 3) -> Column:
     """64-bit fingerprint (as a signed long); 0 for a text without words."""
 
     @arrow_udf("long")
-    def of_batch(texts: pa.Array) -> pa.Array:
-        found = np.array([fingerprint(t, shingle) for t in binaries(texts)], np.uint64)
-        return pa.array(found.view(np.int64), pa.int64())
+    def of_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = np.array([fingerprint(t, shingle) for part in pieces_of(texts, SLICE) for t in binaries(part)], np.uint64)
+            yield pa.array(found.view(np.int64), pa.int64())
+            give_back()
 
-    return of_batch(text)
+    return of_batches(text)
 
 
 # A node is (mask, vantage, mu, radius, left, right); a leaf has mask 0 and its number in `left`.

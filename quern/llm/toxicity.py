@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from quern import settings
-from quern.llm.common import binaries, lowered, pieces_of, raw, text_column
+from quern.llm.common import binaries, give_back, lowered, pieces_of, raw, text_column
 
 #: labelled rows that the classifier is fitted on, at most (by hash of the id, so about that many)
 FIT_ROWS = 20_000
@@ -276,6 +276,10 @@ def restored(text: Column, model: np.ndarray) -> Column:
         for batch in batches:
             parts = [decoder.restore(part) for part in pieces_of(batch, SLICE)]
             yield pa.array([t for part in parts for t in part], pa.string())
+            del parts
+            give_back()
+        del decoder
+        give_back()
 
     return of_batches(text)
 
@@ -341,6 +345,10 @@ class Scorer:
                 found = [f for part in pieces_of(batch, SLICE) for f in present(decoder.restore(part), known, wanted)]
                 z = np.array([weights[f].sum() for f in found]) + weights[-1]
                 yield pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
+                del found, z
+                give_back()
+            del decoder, known
+            give_back()
 
         return of_batches(text)
 
