@@ -87,3 +87,40 @@ def test_paths_never_shuffle_edges(spark, tmp_path, monkeypatch):
     assert seen and all("Exchange" not in plan for plan in seen) and any("FileScan" in plan for plan in seen)
     assert graph.network_delay(edges.filter("src < 900"), 0, stored=True).first()[0] == max(dist.values())
     assert graph.network_delay(edges, 0, stored=True).first()[0] == -1
+
+
+def _windows(rng, n, words=60, width=12):
+    """Texts that are windows of a row of words: neighbours resemble each other; some keys come twice, some are missing."""
+    starts = [rng.randrange(words) for _ in range(n)]
+    texts = [" ".join(f"w{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(s, s + width)) for s in starts]
+    return [(None if i % 31 == 30 else i if i % 9 else i + 1, s, text, i % 5 > 0) for i, (s, text) in enumerate(zip(starts, texts))]
+
+
+def test_greedy_dedup_lists_what_resembles_a_vector(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "LISTED", 2)
+    rows = _windows(random.Random(4), 90)
+    df = spark.createDataFrame(rows, "id bigint, s int, text string, good boolean")
+    units = similarity.unit_vectors(df.withColumn("id", F.col("id") * 2 + F.col("good").cast("int")), "id", "text").withColumn("good", F.col("id") % 2 == 1)
+    want, accepted = {}, []
+    for k, s, good in sorted((2 * k + good, s, good) for k, s, _, good in rows if k is not None):
+        by = min((a for a, t in accepted if a < k and 12 - abs(s - t) >= 0.6 * 12 - 1e-9), default=None)
+        want[k, s] = by
+        if by is None and good:
+            accepted.append((k, s))
+    for block in (1000, 7):
+        got = similarity.greedy_dedup(units, "id", 0.6, "good", block).collect()
+        assert len(got) == len(rows)
+        assert {(r["id"], r.duplicate_of) for r in got} == {(k, by) for (k, _), by in want.items()} | {(None, None)}
+
+
+def test_rounds_of_greedy_selection_do_not_follow_chains(spark):
+    """Each text resembles the one before it only, which is struck for every second text."""
+    texts = [" ".join(f"w{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(i, i + 12)) for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("chain", "chain")
+    got = similarity.greedy_dedup(similarity.unit_vectors(df, "id", "text"), "id").collect()
+    jobs = len(tracker.getJobIdsForGroup("chain"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r["id"]: r.duplicate_of for r in got} == {i: i - 1 if i % 2 else None for i in range(60)}
+    assert jobs < 30
