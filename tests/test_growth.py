@@ -96,6 +96,23 @@ def _windows(rng, n, words=60, width=12):
     return [(None if i % 31 == 30 else i if i % 9 else i + 1, s, text, i % 5 > 0) for i, (s, text) in enumerate(zip(starts, texts))]
 
 
+def test_vectors_are_not_copied_to_blocks_when_there_are_many(spark, monkeypatch):
+    rows = _windows(random.Random(3), 90)
+    df = spark.createDataFrame([*((k, s, x) for k, s, x, _ in rows), (3, -1, ""), (95, -1, "")], "id bigint, s int, text string")
+    monkeypatch.setattr(similarity, "MOST_ROWS", 20)
+    monkeypatch.setattr(similarity, "block_tiles", None)
+    keyed = [(k, s) for k, s, *_ in rows if k is not None]
+    want = set()
+    for k, s in keyed:
+        by = min((a for a, t in keyed if a < k and 12 - abs(s - t) >= 0.6 * 12 - 1e-9), default=None)
+        want |= {(k, by)} - {(k, None)}
+    for most, entries in ((32768, 6_000_000), (7, 6_000_000), (32768, 40)):
+        monkeypatch.setattr(similarity, "ROUND_ROWS", most)
+        monkeypatch.setattr(similarity, "ROUND_ENTRIES", entries)
+        got = similarity.earlier_match(similarity.unit_vectors(df, "id", "text"), "id", 0.6).collect()
+        assert {(r["id"], r["match"]) for r in got} == want
+
+
 def test_greedy_dedup_lists_what_resembles_a_vector(spark, monkeypatch):
     monkeypatch.setattr(similarity, "LISTED", 2)
     rows = _windows(random.Random(4), 90)
